@@ -58,9 +58,9 @@ PARAMETERS: dict[str, dict] = {
     "q17": {"brand": "Brand#3", "container": "MED BOX"},
     "q18": {"quantity": 300},
     "q19": {"brands": ("Brand#1", "Brand#2", "Brand#3")},
-    "q20": {"word": "red", "start": date(1997, 1, 1), "end": date(1998, 1, 1), "nation": "NATION_3"},
+    "q20": {"word": "red", "start": date(1997, 1, 1), "end": date(1998, 1, 1), "nation": "NATION_9"},
     "q21": {"nation": "NATION_20"},
-    "q22": {},
+    "q22": {"since": date(2001, 7, 1)},
 }
 
 COLUMNS = {
@@ -239,7 +239,7 @@ SQL = {
                                                      WHERE l_partkey = ps_partkey AND l_suppkey = ps_suppkey
                                                        AND l_shipdate >= DATE '1997-01-01'
                                                        AND l_shipdate < DATE '1998-01-01'))
-          AND s_nationkey = n_nationkey AND n_name = 'NATION_3'""",
+          AND s_nationkey = n_nationkey AND n_name = 'NATION_9'""",
     "q21": """
         SELECT s_name, count(*) AS numwait FROM x_supplier, x_lineitem l1, x_orders, x_nation
         WHERE s_suppkey = l1.l_suppkey AND o_orderkey = l1.l_orderkey AND o_orderstatus = 'F'
@@ -258,7 +258,8 @@ SQL = {
                 AND c_acctbal > (SELECT avg(c_acctbal) FROM x_customer
                                  WHERE c_acctbal > 0.00
                                    AND substring(c_phone, 1, 2) IN ('13', '31', '23', '29', '30', '18', '17'))
-                AND NOT EXISTS (SELECT * FROM x_orders WHERE o_custkey = c_custkey)) AS custsale
+                AND NOT EXISTS (SELECT * FROM x_orders
+                                WHERE o_custkey = c_custkey AND o_orderdate >= DATE '2001-07-01')) AS custsale
         GROUP BY cntrycode""",
 }
 

@@ -9,7 +9,7 @@ Inputs are rows, because an unclear commit is a fact to be classified after the
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Error classes that prove a commit was refused; any other error leaves it open.
@@ -134,16 +134,47 @@ def run_summary(tables: DataFrame) -> DataFrame:
     )
 
 
-def timing_rollup(durations: DataFrame, baseline_run: str) -> DataFrame:
-    """Median seconds per run and the baseline's median relative to it: ``(run_id, files, median_seconds, speedup)``.
+SLOT = 64  # slots per second for the coarse pass of the median
+
+
+def median_seconds(durations: DataFrame) -> DataFrame:
+    """Exact median per run, ``(run_id, files, median_seconds)``, without gathering a run in one task.
 
-    Equal durations are counted before the shuffle and weigh in the percentile, so a run is not gathered
-    value by value. The baseline is one row.
+    Values are counted in slots of 1/64 second, which tells the slot that holds the middle rank. Only the
+    distinct values of that slot are then ranked; recorded times have six decimals, so these are few.
     """
-    counted = durations.groupBy("run_id", "seconds").agg(F.count("*").alias("n"))
-    medians = counted.groupBy("run_id").agg(
-        F.sum("n").alias("files"), F.expr("percentile(seconds, 0.5, n)").alias("median_seconds")
+    values = durations.groupBy("run_id", "seconds").agg(F.count("*").alias("n"))
+    slot = F.floor(F.col("seconds") * SLOT)
+    slots = values.groupBy("run_id", slot.alias("slot")).agg(F.sum("n").alias("n"))
+    by_slot = Window.partitionBy("run_id").orderBy("slot")
+    ranked = slots.select(
+        "run_id",
+        "slot",
+        F.coalesce(F.sum("n").over(by_slot.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"),
+        F.sum("n").over(by_slot.rowsBetween(Window.unboundedPreceding, 0)).alias("upto"),
+        F.sum("n").over(Window.partitionBy("run_id")).alias("files"),
+    )
+    # Ranks (from 0) of the one or two middle values.
+    low, high = F.expr("(files - 1) div 2"), F.expr("files div 2")
+    middle = ranked.where(
+        ((low >= F.col("before")) & (low < F.col("upto"))) | ((high >= F.col("before")) & (high < F.col("upto")))
     )
+    inside = values.withColumn("slot", slot).join(middle.drop("upto"), ["run_id", "slot"])
+    by_value = Window.partitionBy("run_id", "slot").orderBy("seconds")
+    start = F.col("before") + F.sum("n").over(by_value) - F.col("n")
+    hits = (low >= F.col("start")).cast("int") * (low < F.col("start") + F.col("n")).cast("int") + (
+        high >= F.col("start")
+    ).cast("int") * (high < F.col("start") + F.col("n")).cast("int")
+    return (
+        inside.withColumn("start", start)
+        .groupBy("run_id")
+        .agg(F.max("files").alias("files"), (F.sum(hits * F.col("seconds")) / 2).alias("median_seconds"))
+    )
+
+
+def timing_rollup(durations: DataFrame, baseline_run: str) -> DataFrame:
+    """Median seconds per run and the baseline's median over it: ``(run_id, files, median_seconds, speedup)``."""
+    medians = median_seconds(durations)
     base = medians.where(F.col("run_id") == baseline_run).select("median_seconds")
     return medians.withColumn("speedup", base.scalar() / F.col("median_seconds"))
 

@@ -464,7 +464,12 @@ def q21(t: Tables, nation: str = "SAUDI ARABIA") -> DataFrame:
     )
 
 
-def q22(t: Tables, codes: tuple[str, ...] = ("13", "31", "23", "29", "30", "18", "17")) -> DataFrame:
+def q22(
+    t: Tables,
+    codes: tuple[str, ...] = ("13", "31", "23", "29", "30", "18", "17"),
+    since: date = date(1900, 1, 1),
+) -> DataFrame:
+    orders = t["orders"].where(F.col("o_orderdate") >= F.lit(since))
     candidates = (
         t["customer"]
         .withColumn("cntrycode", F.substring("c_phone", 1, 2))
@@ -476,7 +481,7 @@ def q22(t: Tables, codes: tuple[str, ...] = ("13", "31", "23", "29", "30", "18",
     average_sum, average_n = positive.select("s").scalar(), positive.select("n").scalar()
     return (
         candidates.where(F.col("c_acctbal") * average_n > average_sum)
-        .join(t["orders"].select("o_custkey"), F.col("c_custkey") == F.col("o_custkey"), "left_anti")
+        .join(orders.select("o_custkey"), F.col("c_custkey") == F.col("o_custkey"), "left_anti")
         .groupBy("cntrycode")
         .agg(F.count("*").alias("numcust"), F.sum("c_acctbal").alias("totacctbal"))
         .orderBy("cntrycode")
