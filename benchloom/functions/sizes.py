@@ -15,10 +15,14 @@ def format_bytes(size: Column) -> Column:
     (``format_string`` would round 1.25 up).
     """
     n = size.cast("double")
-    out = F.concat(F.format_number(n / float(1024**5), "0.0"), F.lit(" PiB"))
+
+    def scaled(power: int) -> Column:
+        number = F.call_function("format_number", n / float(1024**power), F.lit("0.0"))
+        return F.concat(number, F.lit(f" {UNITS[power]}"))
+
+    out = scaled(len(UNITS) - 1)
     for power in range(len(UNITS) - 2, -1, -1):
-        scaled = F.concat(F.format_number(n / float(1024**power), "0.0"), F.lit(f" {UNITS[power]}"))
-        out = F.when(n < float(1024 ** (power + 1)), scaled).otherwise(out)
+        out = F.when(n < float(1024 ** (power + 1)), scaled(power)).otherwise(out)
     return F.when(size.isNotNull(), out)
 
 
