@@ -7,8 +7,86 @@ published file. A catalog with its own file metadata could serve :func:`register
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+MANIFEST_TABLE = "manifest"
+PROPERTY = "benchloom."
+
+
+class TablesExist(ValueError):
+    """Target tables exist and the caller did not ask to skip them."""
+
+
+# --- writing --------------------------------------------------------------------------------------
+
+
+def writer_options(bench: str) -> dict[str, str]:
+    """Codec and row-group layout per benchmark: 16 MiB groups, or zstd with 122,880 rows per group."""
+    if bench == "tpch":
+        return {"parquet.block.size": str(16 << 20)}
+    return {"compression": "zstd", "parquet.block.row.count.limit": "122880"}
+
+
+def write_table(df: DataFrame, path: str, bench: str) -> None:
+    """Write one table's files; an existing folder is an error, never overwritten."""
+    df.write.mode("errorifexists").options(**writer_options(bench)).parquet(path)
+
+
+# --- catalog --------------------------------------------------------------------------------------
+
+
+def namespace_name(levels: list[str] | tuple[str, ...] | str) -> str:
+    """The session catalog has one level, so deeper namespaces are joined."""
+    return levels if isinstance(levels, str) else "_".join(levels)
+
+
+def ensure_namespace(spark: SparkSession, namespace: str) -> None:
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{namespace}`")
+
+
+def existing_tables(spark: SparkSession, namespace: str, names: list[str]) -> list[str]:
+    """Which of the names are tables of the namespace; a missing namespace has none."""
+    if not spark.catalog.databaseExists(namespace):
+        return []
+    return sorted({t.name for t in spark.catalog.listTables(namespace)} & set(names))
+
+
+def _ddl(schema: T.StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}" for f in schema)
+
+
+def _text(value) -> str:
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def create_table(
+    spark: SparkSession, namespace: str, table: str, schema: T.StructType, path: str, properties: dict[str, str]
+) -> str:
+    """Create an unpartitioned table over a folder and return its identity; an existing table is an error."""
+    identity = str(uuid.uuid4())
+    all_properties = {**properties, "table-uuid": identity}
+    listed = ", ".join(f"{_text(PROPERTY + key)} = {_text(value)}" for key, value in all_properties.items())
+    spark.sql(
+        f"CREATE TABLE `{namespace}`.`{table}` ({_ddl(schema)}) USING parquet "
+        f"TBLPROPERTIES ({listed}) LOCATION {_text(path)}"
+    )
+    return identity
+
+
+def table_identities(spark: SparkSession, namespace: str, names: list[str]) -> DataFrame:
+    """``(table, table_uuid)`` of published tables, at most one benchmark's worth of names."""
+    rows = []
+    for name in existing_tables(spark, namespace, names):
+        found = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES `{namespace}`.`{name}`").collect()}
+        rows.append((name, found.get(f"{PROPERTY}table-uuid")))
+    return spark.createDataFrame(rows, "table string, table_uuid string")
+
+
+# --- manifest -------------------------------------------------------------------------------------
 
 
 def manifest_rows(parts: DataFrame, digests: DataFrame | None, run_id: str, snapshot_id: int) -> DataFrame:
@@ -28,3 +106,25 @@ def manifest_rows(parts: DataFrame, digests: DataFrame | None, run_id: str, snap
         "md5",
         F.lit("data").alias("content"),
     )
+
+
+def read_manifest(spark: SparkSession, namespace: str) -> DataFrame:
+    name = f"{namespace}.{MANIFEST_TABLE}"
+    if spark.catalog.tableExists(name):
+        return spark.table(name)
+    return spark.createDataFrame(
+        [],
+        "snapshot_id bigint, run_id string, table string, uri string, rows bigint, size_bytes bigint, md5 string, "
+        "content string",
+    )
+
+
+def register(spark: SparkSession, namespace: str, rows: DataFrame) -> None:
+    """Append the files of one run as one batch; all tables of the run share the job."""
+    rows.write.mode("append").format("parquet").saveAsTable(f"{namespace}.{MANIFEST_TABLE}")
+
+
+def next_snapshot(spark: SparkSession, namespace: str) -> int:
+    """Free snapshot number: one number read from the manifest."""
+    last = read_manifest(spark, namespace).agg(F.max("snapshot_id").alias("n")).first()["n"]
+    return (last or 0) + 1

@@ -7,16 +7,21 @@ opened, so the jobs that open files spread the rows over a fixed number of tasks
 from __future__ import annotations
 
 import hashlib
+import sys
 from collections.abc import Iterator
 from urllib.parse import urlsplit
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from benchloom.schemas import benchmark
 from benchloom.session import ensure_checkpoint_dir, file_tasks
 
+# The small functions that open files travel with the tasks, so workers need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 BLOCK = 8 << 20  # bytes per read while hashing
 # Files from this size on are sent in ranges of this many bytes.
 RANGED_FROM = 256 << 20

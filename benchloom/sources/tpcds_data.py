@@ -145,20 +145,21 @@ class Tpcds:
         return 1000 * (list(TPCDS_LAYOUT).index(table) + 1) + names.index(column)
 
     def reference(self, parent: str, tag: int, key: str) -> str:
-        """Uniform key of a parent table. Days come from the sales period, seconds start at 0."""
-        if parent == "date_dim":
-            return f"{FIRST_SALE_SK} + {draw(tag, key, SALE_DAYS)}"
-        if parent == "time_dim":
-            return draw(tag, key, FIXED_ROWS["time_dim"])
-        return f"1 + {draw(tag, key, self.rows[parent])}"
+        """Uniform key of a parent table; one in 32 is unknown, as some are in the specification's data.
+
+        Days come from the sales period, seconds start at 0. One drawn word serves both decisions.
+        """
+        word = f"xxhash64({tag}, {key})"
+        rows = SALE_DAYS if parent == "date_dim" else self.rows[parent]
+        first = {"date_dim": FIRST_SALE_SK, "time_dim": 0}.get(parent, 1)
+        return f"if(({word} & 31) = 0, null, {first} + shiftrightunsigned({word}, 5) % {rows})"
 
     def _default(self, table: str, column: str, kind: str, key: str) -> str:
         prefix, _ = TPCDS_LAYOUT[table]
         bare, tag = column[len(prefix):], self._tag(table, column)
         parent = foreign_key_table(table, column)
         if parent:
-            # One key in 25 is unknown, as in the specification's data.
-            return f"if({draw(tag + 500, key, 25)} = 0, null, {self.reference(parent, tag, key)})"
+            return self.reference(parent, tag, key)
         if bare in STREET.split():
             return self._street(bare, tag, key)
         if bare == "rec_start_date":
