@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from benchloom.schemas import benchmark, expected_layouts, table_schema
+from benchloom.session import constant_rows
 
 VIOLATION = "check string, table string, subject string, expected string, actual string"
 
@@ -158,7 +159,7 @@ def source_set_violations(sources: DataFrame, bench: str) -> DataFrame:
 def set_violations(found: DataFrame, bench: str, check: str = "table_set") -> DataFrame:
     """Difference of a set of table names with the benchmark's set: missing and unexpected names."""
     spark = found.sparkSession
-    expected = spark.createDataFrame([(t, True) for t in benchmark(bench)], "table string, expected boolean")
+    expected = constant_rows(spark, "table string, expected boolean", [(t, True) for t in benchmark(bench)])
     both = found.distinct().withColumn("found", F.lit(True)).join(expected, "table", "full_outer")
     odd = both.where("found is null or expected is null")
     return violation(
@@ -184,7 +185,7 @@ def tpch_row_rules(sf: Decimal) -> dict[str, int]:
 def tpch_count_violations(totals: DataFrame, sf: Decimal) -> DataFrame:
     """Tables whose row count breaks the rule; a table without files counts as no rows."""
     spark = totals.sparkSession
-    rules = spark.createDataFrame(list(tpch_row_rules(sf).items()), "table string, wanted bigint")
+    rules = constant_rows(spark, "table string, wanted bigint", list(tpch_row_rules(sf).items()))
     joined = rules.join(totals, "table", "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
     exact = violation(
         joined.where("rows <> wanted"), "row_count", F.col("table"), F.col("table"), F.col("wanted"), F.col("rows")
@@ -272,8 +273,8 @@ def published_schema_violations(spark: SparkSession, published: str, source: Dat
         return [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(schema.fields)]
 
     # Schemas are a few dozen fields known to the driver; the comparison itself stays a join.
-    left = spark.createDataFrame(rows(source.schema), shape).alias("s")
-    right = spark.createDataFrame(rows(spark.table(published).schema), shape).alias("p")
+    left = constant_rows(spark, shape, rows(source.schema)).alias("s")
+    right = constant_rows(spark, shape, rows(spark.table(published).schema)).alias("p")
     joined = left.join(right, F.col("s.pos") == F.col("p.pos"), "full_outer")
     differs = (
         ~F.col("s.name").eqNullSafe(F.col("p.name"))
@@ -291,7 +292,7 @@ def published_schema_violations(spark: SparkSession, published: str, source: Dat
     )
     parted = [c.name for c in spark.catalog.listColumns(published) if c.isPartition]
     if parted:
-        layout = spark.createDataFrame([(c,) for c in parted], "name string")
+        layout = constant_rows(spark, "name string", [(c,) for c in parted])
         out = out.unionByName(
             violation(layout, "partitioned", published, F.col("name"), "unpartitioned", "partition column")
         )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from benchloom.schemas import benchmark
+from benchloom.session import constant_rows
 
 MANIFEST = (
     "snapshot_id bigint, run_id string, table string, uri string, rows bigint, size_bytes bigint, "
@@ -107,7 +108,7 @@ def tables_without_snapshot(tables: DataFrame, manifest: DataFrame) -> DataFrame
 
 def report_gaps(succeeded: DataFrame, bench: str) -> DataFrame:
     """Set difference both ways between the succeeded tables and the benchmark; empty means complete."""
-    wanted = succeeded.sparkSession.createDataFrame([(t,) for t in benchmark(bench)], "table string")
+    wanted = constant_rows(succeeded.sparkSession, "table string", [(t,) for t in benchmark(bench)])
     found = succeeded.select("table").distinct()
     return (
         wanted.exceptAll(found)

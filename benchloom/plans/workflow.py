@@ -21,6 +21,7 @@ from pyspark.storagelevel import StorageLevel
 
 from benchloom.operators import conform, inventory, outcome, verify
 from benchloom.schemas import benchmark
+from benchloom.session import constant_rows
 from benchloom.sinks import publish
 from benchloom.sources import files
 from benchloom.sources.drawing import count_sources
@@ -95,8 +96,8 @@ def for_each_table(names: list[str], work: Callable[[str], None], workers: int =
 
 def write_dataset(
     spark: SparkSession, bench: str, sf, root: str, parts: int | None = None, workers: int = WORKERS
-) -> DataFrame:
-    """Generate all tables into one folder each and return the rows counted at the source."""
+) -> DataFrame | None:
+    """Generate all tables into one folder each and return their rows, counted at the source (tpcds)."""
     tables = generator(spark, bench, sf, parts)
     # Longest first, so that the big tables do not start when the others are done.
     order = sorted(tables, key=lambda name: name not in ("lineitem", "orders") and not name.endswith("_sales"))
@@ -104,7 +105,7 @@ def write_dataset(
     if failed:
         name, error = sorted(failed.items())[0]
         raise RuntimeError(f"table {name} could not be generated: {error}") from error
-    return count_sources(tables)
+    return count_sources(tables) if bench == "tpcds" else None
 
 
 def inspect(spark: SparkSession, bench: str, sf, root: str, sources: DataFrame | None = None) -> Dataset:
@@ -139,7 +140,7 @@ def generate(
 ) -> Dataset:
     """Write and check a dataset; the returned parts stay persisted until released."""
     sources = write_dataset(spark, bench, sf, root, parts, workers)
-    dataset = inspect(spark, bench, sf, root, sources if bench == "tpcds" else None)
+    dataset = inspect(spark, bench, sf, root, sources)
     require_valid(dataset)
     return dataset
 
@@ -171,7 +172,7 @@ def load(
         raise publish.TablesExist(f"tables exist already: {', '.join(present)}")
     if len(present) == len(names):
         rows = [(run_id, name, "skipped", None, 0, 0, 0, None) for name in names]
-        return Load(run_id, namespace, None, spark.createDataFrame(rows, TABLE_ROW), None, present)
+        return Load(run_id, namespace, None, constant_rows(spark, TABLE_ROW, rows), None, present)
 
     root = f"{location.rstrip('/')}/{run_id}"
     dataset = generate(spark, bench, sf, root, parts, workers)
@@ -215,16 +216,23 @@ def _publish(
     errors = {name: str(exc) for name, exc in for_each_table(active, create, workers).items()}
     created = [name for name in active if name in identities]
 
-    # The bytes must still be the validated ones when they are registered.
-    again = files.list_parts(spark, dataset.root)
-    changed = inventory.size_changes(dataset.parts, again).join(dataset.parts.select("path", "table"), "path")
+    # The bytes must still be the validated ones when they are registered. Hashing reads them all and
+    # so knows their number; without hashing the files are listed again.
+    digests = None
+    if checksum:
+        digests = files.file_digest(dataset.parts).persist(StorageLevel.MEMORY_AND_DISK)
+        after = digests.select("path", F.col("read_bytes").alias("size_bytes"))
+    else:
+        after = files.list_parts(spark, dataset.root)
+    changed = inventory.size_changes(dataset.parts.where("table is not null"), after).join(
+        dataset.parts.select("path", "table"), "path"
+    )
     unstable = {r["table"] for r in changed.select("table").distinct().collect()}
     errors.update({name: "a file changed its size after validation" for name in unstable if name in created})
     ready = [name for name in created if name not in unstable]
 
     attempt = dataset.parts.where(F.col("table").isin(ready))
-    digests = files.file_digest(attempt) if checksum else None
-    rows = publish.manifest_rows(attempt, digests, run_id, publish.next_snapshot(spark, namespace))
+    rows = publish.manifest_rows(attempt, digests, run_id, publish.new_snapshot())
     error_class = None
     try:
         if ready:
@@ -243,16 +251,16 @@ def _publish(
         F.lit(True).alias("state_seen"),
         (F.col("verdict") == "ok").alias("verified"),
     )
-    classified = outcome.classify_tables(expected, live, outcomes)
+    classified = outcome.classify_tables(expected, live, outcomes).select("table", "status")
     states = outcome.classify_parts(expected, live, outcomes)
 
     # One row per table from here on: at most 24.
-    status = {r["table"]: r["status"] for r in classified.collect()}
-    totals = {r["table"]: r for r in files.table_totals(dataset.parts).collect()}
+    known = files.table_totals(dataset.parts).join(classified, "table", "left")
+    found = {r["table"]: r for r in known.collect()}
     table_rows = []
     for name in benchmark(bench):
-        total = totals[name]
-        final = "skipped" if name in skipped else status.get(name, "failed")
+        total = found[name]
+        final = "skipped" if name in skipped else (total["status"] or "failed")
         state = (
             "existing_skipped"
             if name in skipped
@@ -263,7 +271,7 @@ def _publish(
         )
     recorded = registered.select("uri", "md5")
     file_rows = states.join(recorded, "uri", "left").withColumn("run_id", F.lit(run_id))
-    tables = spark.createDataFrame(table_rows, TABLE_ROW)
+    tables = constant_rows(spark, TABLE_ROW, table_rows)
     return Load(run_id, namespace, dataset.root, tables, file_rows, skipped, errors)
 
 

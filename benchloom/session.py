@@ -40,5 +40,27 @@ def file_tasks(spark: SparkSession, requested: int | None = None) -> int:
     return requested or max(2 * spark.sparkContext.defaultParallelism, 8)
 
 
-def empty(spark: SparkSession, ddl: str) -> DataFrame:
-    return spark.createDataFrame([], ddl)
+def constant_rows(spark: SparkSession, columns: str, rows: list[tuple]) -> DataFrame:
+    """A small fixed table as constants of the plan, ``columns`` being ``name type, …``.
+
+    Unlike rows shipped from Python it has a known size, so joins with it are planned as broadcasts, and
+    scanning it needs no job.
+    """
+
+    def literal(value) -> str:
+        if value is None:
+            return "null"
+        if isinstance(value, bool):
+            return str(value).lower()
+        if isinstance(value, (list, tuple)):
+            return f"array({', '.join(map(literal, value))})"
+        if isinstance(value, str):
+            return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        return str(value)
+
+    named = [part.strip().split(" ", 1) for part in columns.split(",")]
+    if not rows:
+        return spark.createDataFrame([], columns)
+    values = ", ".join("(" + ", ".join(map(literal, row)) + ")" for row in rows)
+    picked = ", ".join(f"cast({name} as {kind}) as {name}" for name, kind in named)
+    return spark.sql(f"SELECT {picked} FROM VALUES {values} AS t({', '.join(n for n, _ in named)})")

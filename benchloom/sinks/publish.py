@@ -7,12 +7,15 @@ published file. A catalog with its own file metadata could serve :func:`register
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from benchloom.session import constant_rows
+
 MANIFEST_TABLE = "manifest"
 PROPERTY = "benchloom."
 
@@ -25,10 +28,9 @@ class TablesExist(ValueError):
 
 
 def writer_options(bench: str) -> dict[str, str]:
-    """Codec and row-group layout per benchmark: 16 MiB groups, or zstd with 122,880 rows per group."""
-    if bench == "tpch":
-        return {"parquet.block.size": str(16 << 20)}
-    return {"compression": "zstd", "parquet.block.row.count.limit": "122880"}
+    """Codec and row-group layout per benchmark: groups of 16 MiB (tpch) or of 122,880 rows (tpcds)."""
+    layout = {"parquet.block.size": str(16 << 20)} if bench == "tpch" else {"parquet.block.row.count.limit": "122880"}
+    return {"compression": "zstd", **layout}
 
 
 def write_table(df: DataFrame, path: str, bench: str) -> None:
@@ -83,7 +85,7 @@ def table_identities(spark: SparkSession, namespace: str, names: list[str]) -> D
     for name in existing_tables(spark, namespace, names):
         found = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES `{namespace}`.`{name}`").collect()}
         rows.append((name, found.get(f"{PROPERTY}table-uuid")))
-    return spark.createDataFrame(rows, "table string, table_uuid string")
+    return constant_rows(spark, "table string, table_uuid string", rows)
 
 
 # --- manifest -------------------------------------------------------------------------------------
@@ -124,7 +126,7 @@ def register(spark: SparkSession, namespace: str, rows: DataFrame) -> None:
     rows.write.mode("append").format("parquet").saveAsTable(f"{namespace}.{MANIFEST_TABLE}")
 
 
-def next_snapshot(spark: SparkSession, namespace: str) -> int:
-    """Free snapshot number: one number read from the manifest."""
-    last = read_manifest(spark, namespace).agg(F.max("snapshot_id").alias("n")).first()["n"]
-    return (last or 0) + 1
+
+def new_snapshot() -> int:
+    """Number of a new snapshot; numbers grow with time, so the newest is the largest."""
+    return time.time_ns() // 1000

@@ -41,6 +41,15 @@ def money(cents: str, precision: int = 15) -> str:
     return f"cast(cast({cents} as decimal({precision},0)) * 0.01BD as decimal({precision},2))"
 
 
+def money_choice(number: str, first: int, last: int, step: int = 1) -> str:
+    """Exact decimal from a short ladder of amounts in cents: a look-up in a constant, without arithmetic.
+
+    ``number`` counts the rungs from 0. The result is decimal(15,2) already.
+    """
+    rungs = ", ".join(f"cast({cents // 100}.{cents % 100:02d}BD as decimal(15,2))" for cents in range(first, last + 1, step))
+    return f"element_at(array({rungs}), cast({number} as int) + 1)"
+
+
 def padded(key: str, width: int) -> str:
     return f"lpad(cast({key} as string), {width}, '0')"
 
@@ -63,14 +72,17 @@ def numbered(spark: SparkSession, rows: int, key: str, parts: int | None, least:
     return spark.range(start, start + rows, 1, tasks_for(spark, rows, parts, least)).withColumnRenamed("id", key)
 
 
-def finish(df: DataFrame, bench: str, table: str, values: dict[str, str]) -> DataFrame:
-    """Select a table's columns in order with its types. Decimal columns are given as whole cents."""
+def finish(df: DataFrame, bench: str, table: str, values: dict[str, str], exact: tuple[str, ...] = ()) -> DataFrame:
+    """Select a table's columns in order with its types.
+
+    Decimal columns are given as whole cents, but for those in ``exact``, which have their type already.
+    """
     picked = []
     for column, kind in benchmark(bench)[table]:
         value = values[column]
         if kind in ("I", "L"):
             value = f"cast({value} as bigint)"
-        elif kind.startswith("D") and "_" in kind:
+        elif kind.startswith("D") and "_" in kind and column not in exact:
             value = money(value, int(kind[1:].split("_")[0]))
         picked.append(f"{value} as {column}")
     return df.selectExpr(*picked)

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from benchloom.schemas import benchmark
-from benchloom.session import ensure_checkpoint_dir, file_tasks
+from benchloom.session import constant_rows, ensure_checkpoint_dir, file_tasks
 
 # The small functions that open files travel with the tasks, so workers need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -122,7 +122,7 @@ def part_index(parts: DataFrame) -> DataFrame:
 
 def missing_tables(parts: DataFrame, bench: str) -> DataFrame:
     """Expected tables without any file."""
-    expected = parts.sparkSession.createDataFrame([(t,) for t in benchmark(bench)], "table string")
+    expected = constant_rows(parts.sparkSession, "table string", [(t,) for t in benchmark(bench)])
     present = parts.where("table is not null").select("table").distinct()
     return expected.join(present, "table", "left_anti")
 
@@ -246,6 +246,28 @@ def read_footers(parts: DataFrame, tasks: int | None = None) -> DataFrame:
     return spread.mapInArrow(read, FOOTER)
 
 
+def row_group_layout(parts: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Row groups of every readable file: ``(path, idx, rows, total_bytes)``."""
+    schema = pa.schema([("path", pa.string()), ("idx", pa.int32()), ("rows", pa.int64()), ("total_bytes", pa.int64())])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.parquet as pq
+
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                with _open(path) as source:
+                    meta = pq.read_metadata(source)
+                groups = (meta.row_group(i) for i in range(meta.num_row_groups))
+                rows = [
+                    {"path": path, "idx": i, "rows": g.num_rows, "total_bytes": g.total_byte_size}
+                    for i, g in enumerate(groups)
+                ]
+                yield pa.RecordBatch.from_pylist(rows, schema=schema)
+
+    spread = parts.select("path").repartition(file_tasks(parts.sparkSession, tasks), "path")
+    return spread.mapInArrow(read, "path string, idx int, rows bigint, total_bytes bigint")
+
+
 def with_footers(parts: DataFrame, tasks: int | None = None) -> DataFrame:
     """The listing together with what the footers say."""
     return parts.join(read_footers(parts, tasks), "path")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from benchloom.operators.conform import LINEITEM_AT_SF1, tpch_row_rules
-from benchloom.sources.drawing import bits, choose, draw, finish, numbered, output_parts, padded, tasks_for
+from benchloom.sources.drawing import bits, choose, draw, finish, money_choice, numbered, output_parts, padded, tasks_for
 
 # The public word lists of the specification.
 REGIONS = "AFRICA,AMERICA,ASIA,EUROPE,MIDDLE EAST"
@@ -304,10 +304,10 @@ class Tpch:
                 "l_partkey": "part",
                 "l_suppkey": supplier_of("part", "(shiftrightunsigned(w, 62) & 3)", self.suppliers),
                 "l_linenumber": "i",
-                "l_quantity": f"{self._quantity('v')} * 100",
+                "l_quantity": money_choice(f"({self._quantity('v')} - 1)", 100, 5000, 100),
                 "l_extendedprice": f"{self._quantity('v')} * {retail_cents('part')}",
-                "l_discount": self._discount("v"),
-                "l_tax": self._tax("v"),
+                "l_discount": money_choice(self._discount("v"), 0, 10),
+                "l_tax": money_choice(self._tax("v"), 0, 8),
                 "l_returnflag": f"case when received > {TODAY} then 'N' when w % 2 = 0 then 'R' else 'A' end",
                 "l_linestatus": f"if(shipped > {TODAY}, 'O', 'F')",
                 "l_shipdate": "shipped",
@@ -317,6 +317,7 @@ class Tpch:
                 "l_shipmode": choose(MODES, bits("w", 40, 7)),
                 "l_comment": comment(182, "o, i"),
             },
+            exact=("l_quantity", "l_discount", "l_tax"),
         )
 
     def tables(self) -> dict[str, DataFrame]:
