@@ -12,6 +12,7 @@ from benchloom.catalogue.base import ORACLE_DIR, register, table
 from benchloom.operators import conform, inventory
 from benchloom.plans.completion import complete_table, derive_partsupp
 from benchloom.schemas import benchmark
+from benchloom.session import ensure_checkpoint_dir
 from benchloom.sources import files
 
 GIVEN = (
@@ -436,11 +437,12 @@ def _(spark, folder):
         ) AS g WHERE findings > 0""",
 )
 def _(spark, folder):
-    parts = assigned(spark, folder)
-    footers = files.with_footers(parts)
+    # Many checks share the listing and the footers, so both are read once.
+    ensure_checkpoint_dir(spark)
+    parts = with_footers(spark, folder).checkpoint()
     found = conform.dataset_violations(
         parts,
-        footers,
+        parts,
         "tpch",
         scale_of(spark, folder),
         files.missing_tables(parts, "tpch"),

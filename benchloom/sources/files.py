@@ -7,6 +7,7 @@ opened, so the jobs that open files spread the rows over a fixed number of tasks
 from __future__ import annotations
 
 import hashlib
+import itertools
 import sys
 from collections.abc import Iterator
 from urllib.parse import urlsplit
@@ -38,29 +39,52 @@ def root_path(root: str) -> str:
     return urlsplit(root).path.rstrip("/") if "://" in root else root.removeprefix("file:").rstrip("/")
 
 
-def list_parts(spark: SparkSession, root: str) -> DataFrame:
-    """All ``.parquet`` files below a root: ``(path, relative, name, size_bytes, modified_at)``.
+LISTED = "path string, size_bytes bigint, is_folder boolean"
 
-    Only listing columns are selected, so no content is read. The suffix test ignores case.
+
+def _lister(recursive: bool):
+    """Task function: list the folders given as rows. Large folders leave in batches."""
+    schema = pa.schema([("path", pa.string()), ("size_bytes", pa.int64()), ("is_folder", pa.bool_())])
+
+    def entries(folder: str) -> Iterator[dict]:
+        from pyarrow import fs
+
+        store, inner, prefix = _store(folder)
+        here = store.get_file_info(inner)
+        if here.type == fs.FileType.NotFound:
+            raise FileNotFoundError(folder)
+        found = [here] if here.is_file else store.get_file_info(fs.FileSelector(inner, recursive=recursive))
+        for info in found:
+            if info.is_file and info.path.lower().endswith(".parquet") or not info.is_file and not recursive:
+                yield {"path": prefix + info.path, "size_bytes": info.size, "is_folder": not info.is_file}
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for folder in batch.column(0).to_pylist():
+                for rows in itertools.batched(entries(folder), 10_000):
+                    yield pa.RecordBatch.from_pylist(list(rows), schema=schema)
+
+    return work
+
+
+def list_parts(spark: SparkSession, root: str, tasks: int | None = None) -> DataFrame:
+    """All ``.parquet`` files below a root: ``(path, relative, name, size_bytes)``.
+
+    The suffix test ignores case. Unlike a Spark scan this shows files of zero bytes and names that start
+    with ``_`` or ``.``, which a complete dataset must not have either. One task lists the root, usually
+    one folder per table, and many tasks list the folders; no file is opened.
     """
+    start = root.rstrip("/")
     base = root_path(root)
-    listed = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(root)
-        .select("path", F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified_at"))
-        .where(F.lower("path").endswith(".parquet"))
-    )
+    top = spark.range(0, 1, 1, 1).select(F.lit(start).alias("path")).mapInArrow(_lister(False), LISTED)
+    folders = top.where("is_folder").select("path").repartition(file_tasks(spark, tasks), "path")
+    listed = top.where("not is_folder").unionByName(folders.mapInArrow(_lister(True), LISTED))
     # A root may also be a single file.
     relative = F.when(F.col("path").endswith(base), F.substring_index("path", "/", -1)).otherwise(
         F.substr("path", F.instr("path", base) + F.lit(len(base) + 1))
     )
     return listed.select(
-        "path",
-        relative.alias("relative"),
-        F.substring_index("path", "/", -1).alias("name"),
-        "size_bytes",
-        "modified_at",
+        "path", relative.alias("relative"), F.substring_index("path", "/", -1).alias("name"), "size_bytes"
     )
 
 
@@ -152,14 +176,19 @@ def table_totals(parts: DataFrame) -> DataFrame:
 # --- opening files inside tasks -------------------------------------------------------------------
 
 
-def _open(path: str):
+def _store(path: str):
+    """(file system, path inside it, prefix that makes it a full path again)."""
     from pyarrow import fs
 
-    if path.startswith("file:"):
-        return fs.LocalFileSystem().open_input_file("/" + path[5:].lstrip("/"))
-    if "://" not in path:
-        return fs.LocalFileSystem().open_input_file(path)
-    store, inner = fs.FileSystem.from_uri(path)
+    if path.startswith("file:") or "://" not in path:
+        return fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/"), "file:"
+    scheme, rest = path.split("://", 1)
+    store, inner = fs.FileSystem.from_uri(f"{'s3' if scheme in ('s3a', 's3n') else scheme}://{rest}")
+    return store, inner, path.removesuffix(inner)
+
+
+def _open(path: str):
+    store, inner, _ = _store(path)
     return store.open_input_file(inner)
 
 
