@@ -9,6 +9,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import sys
+import uuid
 from collections.abc import Iterator
 from urllib.parse import urlsplit
 
@@ -76,7 +77,9 @@ def list_parts(spark: SparkSession, root: str, tasks: int | None = None) -> Data
     """
     start = root.rstrip("/")
     base = root_path(root)
-    top = spark.range(0, 1, 1, 1).select(F.lit(start).alias("path")).mapInArrow(_lister(False), LISTED)
+    # Folders change: the mark keeps Spark from answering a new listing from an older, persisted one.
+    seed = spark.range(0, 1, 1, 1).select(F.lit(start).alias("path"), F.lit(uuid.uuid4().hex).alias("listing"))
+    top = seed.mapInArrow(_lister(False), LISTED)
     folders = top.where("is_folder").select("path").repartition(file_tasks(spark, tasks), "path")
     listed = top.where("not is_folder").unionByName(folders.mapInArrow(_lister(True), LISTED))
     # A root may also be a single file.
