@@ -270,20 +270,26 @@ def _(spark, folder):
 
 
 def reports(spark, folder) -> DataFrame:
-    """Run reports as JSON text, one line per file, read back with the report schema."""
+    """Run reports as JSON text, a table's files cut into lines of bounded length, read back with the schema."""
+    found = derived.run_files(spark, folder)
+    counted = found.groupBy("run_id", "table").agg(F.count("*").alias("n"))
+    line = F.pmod(F.xxhash64("uri", "row_count", "size_bytes"), F.greatest(F.lit(1), F.ceil(F.col("n") / 1000)))
     file = F.struct("row_count", "size_bytes", F.col("uri").alias("remote_uri"), "state")
-    row = F.struct("status", F.array(file).alias("files"))
+    lines = (
+        found.join(counted, ["run_id", "table"])
+        .groupBy("run_id", "table", "status", line.alias("line"))
+        .agg(F.collect_list(file).alias("files"))
+    )
     document = F.to_json(
         F.struct(
-            F.lit(1).alias("report_format_version"),
+            F.lit(verify.REPORT_VERSION).alias("report_format_version"),
             "run_id",
             F.lit("load").alias("command"),
             F.lit("tpch").alias("benchmark"),
-            F.create_map("table", row).alias("tables"),
+            F.create_map("table", F.struct("status", "files")).alias("tables"),
         )
     )
-    lines = derived.run_files(spark, folder).select(document.alias("line"))
-    return lines.select(F.from_json("line", verify.REPORT).alias("r")).select("r.*")
+    return lines.select(F.from_json(document, verify.REPORT).alias("r")).select("r.*")
 
 
 SUCCEEDED_SQL = f"SELECT * FROM ({derived.RUN_FILES_SQL}) AS f WHERE status = 'succeeded'"

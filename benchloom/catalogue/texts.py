@@ -36,7 +36,7 @@ def redact_sql(column: str) -> str:
     "format_bytes",
     "doc_id:i small:s square:s huge:s",
     f"""SELECT doc_id, {size_text_sql('n_chars')} AS small, {size_text_sql('(n_chars * n_chars * 64)')} AS square,
-               {size_text_sql('(n_chars * n_chars * n_chars * 9973)')} AS huge FROM documents""",
+               {size_text_sql('(n_chars * n_chars * 1000003)')} AS huge FROM documents""",
 )
 def _(spark, folder):
     n = F.col("n_chars")
@@ -44,7 +44,7 @@ def _(spark, folder):
         "doc_id",
         format_bytes(n).alias("small"),
         format_bytes(n * n * 64).alias("square"),
-        format_bytes(n * n * n * 9973).alias("huge"),
+        format_bytes(n * n * 1000003).alias("huge"),
     )
 
 

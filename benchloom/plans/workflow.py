@@ -101,7 +101,7 @@ def write_dataset(
     tables = generator(spark, bench, sf, parts)
     # Longest first, so that the big tables do not start when the others are done.
     order = sorted(tables, key=lambda name: name not in ("lineitem", "orders") and not name.endswith("_sales"))
-    failed = for_each_table(order, lambda name: publish.write_table(tables[name], f"{root}/{name}", bench), workers)
+    failed = for_each_table(order, lambda name: publish.write_table(tables[name], f"{root}/{name}", bench, name), workers)
     if failed:
         name, error = sorted(failed.items())[0]
         raise RuntimeError(f"table {name} could not be generated: {error}") from error

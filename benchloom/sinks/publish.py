@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from benchloom.schemas import SALE_TABLES, benchmark
 from benchloom.session import constant_rows
 
 MANIFEST_TABLE = "manifest"
@@ -27,15 +28,31 @@ class TablesExist(ValueError):
 # --- writing --------------------------------------------------------------------------------------
 
 
-def writer_options(bench: str) -> dict[str, str]:
+# Columns whose values hardly repeat: a dictionary would be built in vain for every row group.
+PLAIN_TPCH = (
+    "s_suppkey s_name s_address s_phone c_custkey c_name c_address c_phone p_partkey ps_partkey o_orderkey o_custkey "
+    "o_totalprice l_orderkey l_partkey l_extendedprice"
+).split()
+
+
+def plain_columns(bench: str, table: str) -> list[str]:
+    if bench == "tpch":
+        return [c for c, _ in benchmark(bench).get(table, ()) if c in PLAIN_TPCH]
+    if table in SALE_TABLES:
+        return [c for c, kind in benchmark(bench)[table] if kind in ("L", "D7_2") or c.endswith("_sk")]
+    return []
+
+
+def writer_options(bench: str, table: str = "") -> dict[str, str]:
     """Codec and row-group layout per benchmark: groups of 16 MiB (tpch) or of 122,880 rows (tpcds)."""
     layout = {"parquet.block.size": str(16 << 20)} if bench == "tpch" else {"parquet.block.row.count.limit": "122880"}
-    return {"compression": "zstd", **layout}
+    plain = {f"parquet.enable.dictionary#{column}": "false" for column in plain_columns(bench, table)}
+    return {"compression": "zstd", **layout, **plain}
 
 
-def write_table(df: DataFrame, path: str, bench: str) -> None:
+def write_table(df: DataFrame, path: str, bench: str, table: str = "") -> None:
     """Write one table's files; an existing folder is an error, never overwritten."""
-    df.write.mode("errorifexists").options(**writer_options(bench)).parquet(path)
+    df.write.mode("errorifexists").options(**writer_options(bench, table)).parquet(path)
 
 
 # --- catalog --------------------------------------------------------------------------------------

@@ -30,6 +30,8 @@ def one(spark, value, build):
         ("HTTPS://User@Host/Path?x", [], "https://Host/Path"),
         ("see http://[::1]:80/a?b and http://[bad/x?y end", [], "see http://[::1]:80/a and [invalid/redacted URI] end"),
         ("token" + "x" * 50_000 + "=value", [], "token" + "x" * 50_000 + "=[REDACTED]"),
+        ("\u017fecret=a to\u212aen=b cook\u0131e=c \u017fPAIN=d", [], "\u017fecret=[REDACTED] to\u212aen=[REDACTED] cook\u0131e=[REDACTED] \u017fPAIN=d"),
+        ("PASSWORD\u00a0=\u00a0x\u00a0y", [], "PASSWORD\u00a0=\u00a0[REDACTED]\u00a0y"),
         ("plain", [], "plain"),
     ],
 )
