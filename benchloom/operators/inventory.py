@@ -118,10 +118,10 @@ def report_gaps(succeeded: DataFrame, bench: str) -> DataFrame:
 
 
 def size_changes(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Files whose size is no longer the validated one, or that are gone: ``(path, size_before, size_after)``."""
+    """Files whose size is no longer the validated one, or that are gone: columns of ``before`` and ``size_after``."""
     later = after.select("path", F.col("size_bytes").alias("size_after"))
     return (
-        before.select("path", F.col("size_bytes").alias("size_before"))
+        before.withColumnRenamed("size_bytes", "size_before")
         .join(later, "path", "left")
         .where(~F.col("size_before").eqNullSafe(F.col("size_after")))
     )

@@ -30,7 +30,7 @@ RANGED_FROM = 256 << 20
 RANGE_BYTES = 67_139_550
 
 FOOTER = (
-    "path string, rows bigint, row_groups int, footer_bytes bigint, "
+    "rows bigint, row_groups int, footer_bytes bigint, "
     "columns array<struct<name:string,type:string,nullable:boolean,field_id:int>>, error string"
 )
 
@@ -245,37 +245,45 @@ def _footer(path: str) -> dict:
         return {"path": path, "error": f"{type(exc).__name__}: {exc}"}
 
 
-def read_footers(parts: DataFrame, tasks: int | None = None) -> DataFrame:
-    """Row count, row groups and schema of every file, from its footer only; unreadable files give ``error``."""
-    schema = pa.schema(
+def _footer_schema() -> pa.Schema:
+    column = pa.struct(
+        [("name", pa.string()), ("type", pa.string()), ("nullable", pa.bool_()), ("field_id", pa.int32())]
+    )
+    return pa.schema(
         [
             ("path", pa.string()),
             ("rows", pa.int64()),
             ("row_groups", pa.int32()),
             ("footer_bytes", pa.int64()),
-            (
-                "columns",
-                pa.list_(
-                    pa.struct(
-                        [
-                            ("name", pa.string()),
-                            ("type", pa.string()),
-                            ("nullable", pa.bool_()),
-                            ("field_id", pa.int32()),
-                        ]
-                    )
-                ),
-            ),
+            ("columns", pa.list_(column)),
             ("error", pa.string()),
         ]
     )
 
+
+def with_footers(parts: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Row count, row groups and schema of every file, from its footer only; unreadable files give ``error``.
+
+    The columns of ``parts`` pass through the task, so the listing is read once and nothing is joined.
+    """
+    schema = _footer_schema()
+    place = parts.columns.index("path")
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_pylist([_footer(p) for p in batch.column(0).to_pylist()], schema=schema)
+            footers = pa.RecordBatch.from_pylist([_footer(p) for p in batch.column(place).to_pylist()], schema=schema)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, *footers.columns[1:]], names=[*batch.schema.names, *schema.names[1:]]
+            )
 
-    spread = parts.select("path").repartition(file_tasks(parts.sparkSession, tasks), "path")
-    return spread.mapInArrow(read, FOOTER)
+    given = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in parts.schema)
+    spread = parts.repartition(file_tasks(parts.sparkSession, tasks), "path")
+    return spread.mapInArrow(read, f"{given}, {FOOTER}")
+
+
+def read_footers(parts: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Footers alone, keyed by path."""
+    return with_footers(parts.select("path"), tasks)
 
 
 def row_group_layout(parts: DataFrame, tasks: int | None = None) -> DataFrame:
@@ -300,11 +308,6 @@ def row_group_layout(parts: DataFrame, tasks: int | None = None) -> DataFrame:
     return spread.mapInArrow(read, "path string, idx int, rows bigint, total_bytes bigint")
 
 
-def with_footers(parts: DataFrame, tasks: int | None = None) -> DataFrame:
-    """The listing together with what the footers say."""
-    return parts.join(read_footers(parts, tasks), "path")
-
-
 def schema_listing(footers: DataFrame) -> DataFrame:
     """One row per file and column: ``(path, pos, name, type, nullable, field_id)``."""
     return footers.select("path", F.posexplode("columns").alias("pos", "c")).select("path", "pos", "c.*")
