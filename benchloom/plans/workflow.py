@@ -17,11 +17,10 @@ from functools import reduce
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from benchloom.operators import conform, inventory, outcome, verify
 from benchloom.schemas import benchmark
-from benchloom.session import constant_rows
+from benchloom.session import constant_rows, ensure_checkpoint_dir
 from benchloom.sinks import publish
 from benchloom.sources import files
 from benchloom.sources.drawing import count_sources
@@ -46,7 +45,7 @@ class LoadFailed(RuntimeError):
 
 @dataclass
 class Dataset:
-    """A written dataset and what is known about it. ``parts`` is persisted; ``release`` drops it."""
+    """A written dataset and what is known about it; ``parts`` has one row per file with its footer."""
 
     bench: str
     sf: Decimal
@@ -54,9 +53,6 @@ class Dataset:
     parts: DataFrame
     sources: DataFrame | None = None
 
-    def release(self) -> None:
-        self.parts.unpersist()
-
 
 @dataclass
 class Load:
@@ -111,9 +107,14 @@ def write_dataset(
 
 
 def inspect(spark: SparkSession, bench: str, sf, root: str, sources: DataFrame | None = None) -> Dataset:
-    """List a dataset and read every footer once. The result is used by many checks, so it is kept."""
+    """List a dataset and read every footer once.
+
+    The result is what the run validates and publishes, so it is fixed by a checkpoint: a lost executor
+    must not make a later step see files as they are then.
+    """
     listed = files.assign_table(files.list_parts(spark, root), bench)
-    footers = files.with_footers(listed).persist(StorageLevel.MEMORY_AND_DISK)
+    ensure_checkpoint_dir(spark)
+    footers = files.with_footers(listed).checkpoint()
     return Dataset(bench, Decimal(str(sf)), root, footers, sources)
 
 
@@ -140,7 +141,7 @@ def require_valid(dataset: Dataset) -> None:
 def generate(
     spark: SparkSession, bench: str, sf, root: str, parts: int | None = None, workers: int = WORKERS
 ) -> Dataset:
-    """Write and check a dataset; the returned parts stay persisted until released."""
+    """Write a dataset and check it."""
     sources = write_dataset(spark, bench, sf, root, parts, workers)
     dataset = inspect(spark, bench, sf, root, sources)
     require_valid(dataset)
@@ -178,10 +179,7 @@ def load(
 
     root = f"{location.rstrip('/')}/{run_id}"
     dataset = generate(spark, bench, sf, root, parts, workers)
-    try:
-        return _publish(spark, dataset, namespace, run_id, present, checksum, workers)
-    finally:
-        dataset.release()
+    return _publish(spark, dataset, namespace, run_id, present, checksum, workers)
 
 
 TABLE_ROW = (
@@ -222,7 +220,7 @@ def _publish(
     # so knows their number; without hashing the files are listed again.
     digests = None
     if checksum:
-        digests = files.file_digest(dataset.parts).persist(StorageLevel.MEMORY_AND_DISK)
+        digests = files.file_digest(dataset.parts).checkpoint()
         after = digests.select("path", F.col("read_bytes").alias("size_bytes"))
     else:
         after = files.list_parts(spark, dataset.root)
@@ -242,7 +240,8 @@ def _publish(
         errors.update({name: str(exc) for name in ready})
 
     registered = publish.read_manifest(spark, namespace).where(F.col("run_id") == run_id)
-    live = inventory.current_inventory(registered)
+    # The state as it was read back, for the tables' statuses and the files' states alike.
+    live = inventory.current_inventory(registered).checkpoint()
     expected = attempt.select("table", F.col("path").alias("uri"), "rows", "size_bytes")
     verdicts = inventory.inventory_verdicts(expected, live.where("problem is null"))
     outcomes = verdicts.select(
@@ -360,7 +359,8 @@ def verify_load(
     first = tables.select("benchmark", F.element_at("table_identifier", 1).alias("namespace")).first()
     bench, namespace = first["benchmark"], first["namespace"]
     succeeded = tables.where("status = 'succeeded'")
-    wanted = verify.report_files(tables).persist(StorageLevel.MEMORY_AND_DISK)
+    ensure_checkpoint_dir(spark)
+    wanted = verify.report_files(tables).checkpoint()
     names = [r["table"] for r in succeeded.select("table").distinct().collect()]  # at most 24
     if not names:
         raise ValueError("the report has no table to verify")

@@ -139,14 +139,13 @@ def test_lost_commit(spark, tmp_path, monkeypatch):
 
 
 def test_gate_blocks_a_bad_dataset(spark, tmp_path):
-    workflow.generate(spark, "tpch", SF, str(tmp_path / "d")).release()
+    workflow.generate(spark, "tpch", SF, str(tmp_path / "d"))
     file = next((tmp_path / "d" / "region").glob("part-*.parquet"))
     pq.write_table(pq.read_table(file).slice(0, 4), file)
     dataset = workflow.inspect(spark, "tpch", SF, str(tmp_path / "d"))
     with pytest.raises(workflow.DatasetInvalid) as error:
         workflow.require_valid(dataset)
     assert error.value.findings == {"row_count": 1}
-    dataset.release()
 
 
 def test_tampering_is_found(spark, tmp_path):
