@@ -21,6 +21,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 
 from benchloom.llm.columns import slices
+from benchloom.llm.ship import arrow_map, kind
 
 #: Characters encoded at once; longer texts are cut at safe places.
 CHUNK = 1 << 16
@@ -72,8 +73,7 @@ def encode(documents: DataFrame, ranks: str, pattern: str, key: str = "doc_id",
                 names=[key, "n_tokens", "ids"],
             )
 
-    kind = documents.schema[key].dataType.simpleString()
-    return documents.select(key, text).mapInArrow(work, f"`{key}` {kind}, n_tokens bigint, ids binary")
+    return arrow_map(documents.select(key, text), work, f"{kind(documents, key)}, n_tokens bigint, ids binary")
 
 
 def decode(encoded: DataFrame, ranks: str, pattern: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
@@ -94,5 +94,5 @@ def decode(encoded: DataFrame, ranks: str, pattern: str, key: str = "doc_id", id
                 names=[key, "n_tokens", "ids", "decoded"],
             )
 
-    kind = encoded.schema[key].dataType.simpleString()
-    return encoded.select(key, ids).mapInArrow(work, f"`{key}` {kind}, n_tokens bigint, ids binary, decoded binary")
+    shape = f"{kind(encoded, key)}, n_tokens bigint, ids binary, decoded binary"
+    return arrow_map(encoded.select(key, ids), work, shape)

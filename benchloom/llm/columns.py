@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Bytes of text handled at once.
 SLICE_BYTES = 4 << 20
@@ -81,7 +82,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTE
     """The batches cut so that the texts of each have about ``limit`` bytes; a longer text is alone."""
     for batch in batches:
         sizes = np.nan_to_num(
-            pa.compute.binary_length(batch.column(text)).to_numpy(zero_copy_only=False).astype(float)
+            pc.binary_length(batch.column(text)).to_numpy(zero_copy_only=False).astype(float)
         )
         ends, start = np.cumsum(sizes), 0
         while start < batch.num_rows:
