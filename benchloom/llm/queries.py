@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from benchloom.llm import bpe
+from benchloom.llm import bpe, token_files
+from benchloom.llm.shared import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -34,3 +35,11 @@ def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op3_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Every text as ids in files, and what the files give back."""
+    files = new_folder(spark, "tokens")
+    token_files.write(table(spark, folder, "documents"), files, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.read(spark, files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
