@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from benchloom.llm import bpe, token_files
+from benchloom.llm import bpe, decontaminate, token_files
 from benchloom.llm.shared import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +43,43 @@ def op3_token_files(spark: SparkSession, folder: str) -> DataFrame:
     files = new_folder(spark, "tokens")
     token_files.write(table(spark, folder, "documents"), files, public_tokenizers.path("byte_bpe_50k.json"))
     return token_files.read(spark, files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """The words of every document that stand in benchmark passages."""
+    found = decontaminate.hits(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    names = F.array_sort(F.transform("items", lambda x: x.cast("string")))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join(names, ","), 256).alias("items_sha256"),
+        decontaminate.contaminated(F.col("n_words"), F.col("n_hit")).alias("contaminated"),
+    )
+
+
+ORACLES["op4_benchmark_decontamination"] = """
+WITH d AS (SELECT doc_id, regexp_extract_all(lower_az, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+           FROM (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                          'abcdefghijklmnopqrstuvwxyz') AS lower_az FROM documents)),
+     b AS (SELECT item_id, regexp_extract_all(lower_az, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+           FROM (SELECT item_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                           'abcdefghijklmnopqrstuvwxyz') AS lower_az FROM benchmark)),
+     sizes AS (SELECT DISTINCT least(len(w), 13) AS n FROM b WHERE len(w) > 0),
+     wins AS (SELECT DISTINCT item_id, n, array_to_string(w[i : i + n - 1], ' ') AS phrase
+              FROM (SELECT item_id, w, least(len(w), 13) AS n,
+                           unnest(range(1, len(w) - least(len(w), 13) + 2)) AS i FROM b WHERE len(w) > 0)),
+     places AS (SELECT doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') AS phrase
+                FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n)),
+     occ AS (SELECT doc_id, item_id, i, n FROM places JOIN wins USING (n, phrase)),
+     hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+             FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT doc_id, i, n FROM occ)) GROUP BY doc_id),
+     its AS (SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS names
+             FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS x FROM occ) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)
+"""
