@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from benchloom.llm import bpe, decontaminate, substrings, token_files
+from benchloom.llm import bpe, decontaminate, quality_rules, substrings, token_files
 from benchloom.llm.shared import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,3 +105,11 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_r
        sha256(coalesce(kept, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)
 """
+
+
+@query
+def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Statistics and verdict of every document."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    rules = quality_rules.fit(documents, table(spark, folder, "labels"))
+    return quality_rules.assess(documents, rules).select("doc_id", "rules.*")

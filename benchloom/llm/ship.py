@@ -36,3 +36,9 @@ def arrow_map(frame: DataFrame, work, schema: str) -> DataFrame:
 def kind(frame: DataFrame, column: str) -> str:
     """``name type`` of a column, for a schema."""
     return f"`{column}` {frame.schema[column].dataType.simpleString()}"
+
+
+def with_struct(frame: DataFrame, name: str, fields: dict[str, str]) -> str:
+    """The schema of ``frame`` with one more column, a struct."""
+    inner = ", ".join(f"{field}: {form}" for field, form in fields.items())
+    return ", ".join([*(kind(frame, column) for column in frame.columns), f"`{name}` struct<{inner}>"])
