@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from benchloom.llm import bpe, decontaminate, quality_rules, substrings, token_files
+from benchloom.llm import bpe, compression, decontaminate, quality_rules, substrings, token_files
 from benchloom.llm.shared import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,17 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
     rules = quality_rules.fit(documents, table(spark, folder, "labels"))
     return quality_rules.assess(documents, rules).select("doc_id", "rules.*")
+
+
+def checksum(key: str, divisor: int) -> Column:
+    """crc32 of a key as text, modulo a number; a key that is null counts as an empty text."""
+    return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % divisor
+
+
+@query
+def op7_compression_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every document; a fifth of the labels is held out."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = checksum("doc_id", 5) == 0
+    model = compression.fit(documents, table(spark, folder, "labels").where(~held_out))
+    return compression.classify(documents, model).select("doc_id", held_out.alias("held_out"), "quality.*")
