@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from benchloom.llm import bpe, compression, decontaminate, quality_rules, substrings, token_files
+from benchloom.llm import bpe, compression, decontaminate, language_model, quality_rules, substrings, token_files
 from benchloom.llm.shared import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,3 +127,20 @@ def op7_compression_quality(spark: SparkSession, folder: str) -> DataFrame:
     held_out = checksum("doc_id", 5) == 0
     model = compression.fit(documents, table(spark, folder, "labels").where(~held_out))
     return compression.classify(documents, model).select("doc_id", held_out.alias("held_out"), "quality.*")
+
+
+@query
+def op5_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of every document under a model of six sevenths of them."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = checksum("doc_id", 7) == 2
+    model = language_model.fit(documents, ~held_out)
+    return language_model.score(documents, model).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.tokens).cast("bigint").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
