@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from benchloom.llm import bpe, compression, decontaminate, language_model, quality_rules, substrings, token_files
+from benchloom.llm import bpe, compression, decontaminate, jaccard, language_model, quality_rules, substrings, token_files
 from benchloom.llm.shared import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -144,3 +144,25 @@ def op5_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
         "base_score",
         "score",
     )
+
+
+@query
+def op2_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    """Class and number of links of every document."""
+    return jaccard.classes(table(spark, folder, "documents")).select("doc_id", "class_id", "n_links")
+
+
+ORACLES["op2_ngram_jaccard"] = """
+WITH RECURSIVE
+d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, hash(array_to_string(w[i : i + least(len(w), 5) - 1], ' ')) AS g
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(len(w), 5) + 2)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
+           GROUP BY ALL),
+link AS (SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 5 * c >= 4 * (x.n + y.n - c)),
+reach(a, b) AS (SELECT doc_id, doc_id FROM d UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+cls AS (SELECT a AS doc_id, min(b) AS class_id FROM reach GROUP BY a),
+cnt AS (SELECT a AS doc_id, count(*) AS k FROM link GROUP BY a)
+SELECT doc_id, class_id, coalesce(k, 0) AS n_links FROM cls LEFT JOIN cnt USING (doc_id)
+"""
