@@ -92,6 +92,26 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTE
             start = stop
 
 
+def hash_pieces(data: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each of the pieces, none empty, that follow each other in ``data``."""
+    if not len(sizes):
+        return np.empty(0, U64)
+    places = np.cumsum(sizes)
+    heads = places - sizes
+    at = np.arange(places[-1]) - np.repeat(heads, sizes)
+    weight = _PLACE[at & 4095]
+    if sizes.max() > 4096:
+        weight = weight + (at >> 12).astype(U64) * _STEP[0]
+    sums = np.add.reduceat(_BYTE[data] * weight, heads)
+    return mix(sums + sizes.astype(U64) * _STEP[1])
+
+
+def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All places of the ranges that start at ``starts``, one range after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - sizes - starts, sizes)
+
+
 class Words:
     """The words of a slice: ``starts`` and ``ends`` in bytes; ``first[d]`` is the first word of document d."""
 
@@ -118,17 +138,7 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word's bytes."""
-        sizes = self.ends - self.starts
-        if not len(sizes):
-            return np.empty(0, U64)
-        places = np.cumsum(sizes)
-        heads = places - sizes
-        at = np.arange(places[-1]) - np.repeat(heads, sizes)
-        weight = _PLACE[at & 4095]
-        if sizes.max() > 4096:
-            weight = weight + (at >> 12).astype(U64) * _STEP[0]
-        sums = np.add.reduceat(_BYTE[self.data[self.inside]] * weight, heads)
-        return mix(sums + sizes.astype(U64) * _STEP[1])
+        return hash_pieces(self.data[self.inside], self.ends - self.starts)
 
     def windows(self, size: int) -> np.ndarray:
         """Words at which ``size`` words of one document start."""

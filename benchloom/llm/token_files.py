@@ -17,7 +17,6 @@ hash of their text; null keys come first. Only the named columns are read.
 
 from __future__ import annotations
 
-import re
 from functools import lru_cache
 
 import numpy as np
@@ -27,18 +26,16 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from benchloom.llm.columns import slices
+from benchloom.llm.columns import U64, hash_pieces, slices, spread, utf8
 from benchloom.llm.ship import arrow_map
 
 BLOCK = 512
 SEGMENT = 1 << 16
 PERCENTILE = 90
 #: Spans whose ids a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 2_000_000
 
 _HEAD = np.dtype([("low", "<u4"), ("n", "<u2"), ("width", "u1"), ("pad", "u1"), ("odd", "<u2"), ("pad2", "<u2")])
-_UNSAFE = re.compile(r"\s ")
-_SAFE = re.compile(r"(?<=\S) ")
 
 
 def pack(ids: np.ndarray) -> tuple[bytes, list[int]]:
@@ -67,7 +64,9 @@ def _packed(rows: np.ndarray) -> list[bytes]:
     for width in np.unique(widths):
         chosen = np.flatnonzero(widths == width)
         values = np.ascontiguousarray(rest[chosen])
-        bits = np.unpackbits(values.astype("<u4").view(np.uint8).reshape(len(chosen), n, 4), axis=2, bitorder="little")
+        bytes_each = 2 if width <= 16 else 4
+        planes = values.astype(f"<u{bytes_each}").view(np.uint8).reshape(len(chosen), n, bytes_each)
+        bits = np.unpackbits(planes, axis=2, bitorder="little")
         packed = np.packbits(bits[:, :, :width].reshape(len(chosen), -1), axis=1, bitorder="little")
         odd = values >> np.uint32(width) > 0 if width < 32 else np.zeros(values.shape, bool)
         for i, block in enumerate(chosen):
@@ -93,9 +92,10 @@ def unpack(blocks: bytes, starts: list[int] | np.ndarray) -> np.ndarray:
     for shape in np.unique(np.stack([n, width]), axis=1).T:
         chosen = np.flatnonzero((n == shape[0]) & (width == shape[1]))
         bits = np.unpackbits(data[body[chosen][:, None] + np.arange(sizes[chosen[0]])], axis=1, bitorder="little")
-        padded = np.zeros((len(chosen), shape[0], 32), np.uint8)
+        bytes_each = 2 if shape[1] <= 16 else 4
+        padded = np.zeros((len(chosen), shape[0], 8 * bytes_each), np.uint8)
         padded[:, :, : shape[1]] = bits[:, : shape[0] * shape[1]].reshape(len(chosen), shape[0], shape[1])
-        values = np.packbits(padded.reshape(len(chosen), -1), axis=1, bitorder="little").view("<u4")
+        values = np.packbits(padded.reshape(len(chosen), -1), axis=1, bitorder="little").view(f"<u{bytes_each}")
         out[(ends[chosen] - shape[0])[:, None] + np.arange(shape[0])] = values
     for block in np.flatnonzero(heads["odd"]):
         odd, at = int(heads["odd"][block]), int(body[block] + sizes[block])
@@ -104,30 +104,105 @@ def unpack(blocks: bytes, starts: list[int] | np.ndarray) -> np.ndarray:
     return out + np.repeat(heads["low"], n)
 
 
-@lru_cache(maxsize=2)
-def tokenizer(path: str) -> tuple[Tokenizer, dict[str, bytes]]:
-    """The tokenizer of a file, and the ids of spans of text already met; once per worker."""
-    found = Tokenizer.from_file(path)
-    found.encode_special_tokens = True  # their strings in a text are ordinary text
-    return found, {}
-
-
-def token_ids(texts: list[str], path: str) -> list[bytes]:
-    """Ids of each text as little-endian unsigned 32-bit integers.
+class Encoder:
+    """A tokenizer file, with the ids of the spans of text that this worker has met.
 
     A byte-level pattern never matches across a non-space followed by a space, so a text's ids are those of its spans
-    from one such place to the next, and each different span needs the library once.
+    from one such place to the next, and each different span needs the library once. Spans are told apart by 64 bits;
+    ``known`` is sorted, and ``first`` and ``count`` say where in ``store`` the ids of each stand.
     """
-    library, known = tokenizer(path)
-    cut = [_SAFE.split(x) if _UNSAFE.search(x) else x.split(" ") for x in texts]
-    for spans in cut:
-        spans[1:] = [" " + x for x in spans[1:]]
-    if len(known) > REMEMBERED:
-        known.clear()
-    new = list({span for spans in cut for span in spans if span not in known})
-    for span, got in zip(new, library.encode_batch_fast(new, add_special_tokens=False), strict=True):
-        known[span] = np.array(got.ids, "<u4").tobytes()
-    return [b"".join(map(known.__getitem__, spans)) for spans in cut]
+
+    def __init__(self, path: str) -> None:
+        self.library = Tokenizer.from_file(path)
+        self.library.encode_special_tokens = True  # their strings in a text are ordinary text
+        names = self.library.get_vocab(with_added_tokens=True)
+        self.bytes_of = np.zeros(max(names.values()) + 1, np.int64)
+        for name, number in names.items():
+            self.bytes_of[number] = len(name)  # one character stands for one byte
+        self.forget()
+
+    def forget(self) -> None:
+        self.known, self.first, self.count = np.empty(0, U64), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.store, self.used = np.empty(1 << 16, np.uint32), 0
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(x.ids, np.uint32) for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def learn(self, hashes: np.ndarray, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, plain: np.ndarray) -> None:
+        """Remember the ids of new spans. Plain ones start with a space and end with none, so many are encoded as one
+        text, which is cut by the bytes that each token stands for."""
+        ids, counts = [], np.zeros(len(hashes), np.int64)
+        order = np.concatenate((np.flatnonzero(plain), np.flatnonzero(~plain)))
+        hashes, starts, sizes = hashes[order], starts[order], sizes[order]
+        n_plain = int(plain.sum())
+        for a in range(0, n_plain, 2000):
+            b = min(a + 2000, n_plain)
+            text = data[spread(starts[a:b], sizes[a:b])].tobytes().decode()
+            ids += self._ids([text])
+            cuts = np.searchsorted(np.cumsum(self.bytes_of[ids[-1]]), np.cumsum(sizes[a:b])) + 1
+            counts[a:b] = np.diff(cuts, prepend=0)
+        others = [data[x : x + y].tobytes().decode() for x, y in zip(starts[n_plain:], sizes[n_plain:], strict=True)]
+        ids += self._ids(others)
+        counts[n_plain:] = [len(x) for x in ids[len(ids) - len(others) :]]
+        new = np.concatenate(ids)
+        if self.used + len(new) > len(self.store):
+            self.store = np.concatenate((self.store[: self.used], np.empty(self.used + 2 * len(new), np.uint32)))
+        self.store[self.used : self.used + len(new)] = new
+        first = self.used + np.cumsum(counts) - counts
+        self.used += len(new)
+        known = np.concatenate((self.known, hashes))
+        order = np.argsort(known, kind="stable")
+        self.known = known[order]
+        self.first = np.concatenate((self.first, first))[order]
+        self.count = np.concatenate((self.count, counts))[order]
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, their number in each) of UTF-8 texts."""
+        if not len(data):
+            return np.empty(0, np.uint32), np.zeros(len(offsets) - 1, np.int64)
+        # Cut before a space after a byte that ends no white space; the heads of texts are cuts as well.
+        solid = _ends_solid(data)
+        cut = np.zeros(len(data), bool)
+        cut[1:] = (data[1:] == 0x20) & solid[:-1]
+        cut[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
+        starts = np.flatnonzero(cut)
+        sizes = np.diff(np.append(starts, len(data)))
+        plain = (data[starts] == 0x20) & solid[starts + sizes - 1]
+        hashes = hash_pieces(data, sizes)
+        if len(self.known) > REMEMBERED:
+            self.forget()
+        at = np.searchsorted(self.known, hashes)
+        missing = at == len(self.known)
+        at[missing] = 0
+        missing |= (self.known[at] != hashes) if len(self.known) else True
+        if missing.any():
+            lacking = np.flatnonzero(missing)
+            _, chosen = np.unique(hashes[lacking], return_index=True)
+            lacking = lacking[chosen]
+            self.learn(hashes[lacking], data, starts[lacking], sizes[lacking], plain[lacking])
+            at = np.searchsorted(self.known, hashes)
+        counts = self.count[at]
+        owner = np.searchsorted(offsets, starts, "right") - 1
+        return (
+            self.store[spread(self.first[at], counts)],
+            np.bincount(owner, counts, len(offsets) - 1).astype(np.int64),
+        )
+
+
+def _ends_solid(data: np.ndarray) -> np.ndarray:
+    """Whether each byte surely ends a character that is no white space: those of Unicode are U+0085, U+00A0 and some
+    whose first of three bytes is E1, E2 or E3."""
+    solid = (data > 0x20) & (data != 0x7F)
+    high = data >= 0x80
+    solid[1:] &= ~(high[1:] & (data[:-1] == 0xC2))
+    solid[2:] &= ~(high[2:] & (data[:-2] >= 0xE1) & (data[:-2] <= 0xE3))
+    return solid
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    """The encoder of a file, once per worker."""
+    return Encoder(path)
 
 
 def write(
@@ -144,7 +219,7 @@ def write(
         keys, ids, starts, held, key_type = [], [], [], 0, None
 
         def row():
-            blocks, places = pack(np.concatenate([np.frombuffer(x, "<u4") for x in ids]))
+            blocks, places = pack(np.concatenate(ids))
             return pa.record_batch(
                 [
                     pa.array([shard], pa.int32()),
@@ -159,19 +234,29 @@ def write(
                 names=["shard", "segment", "first", "n_ids", "keys", "doc_starts", "block_starts", "blocks"],
             )
 
-        end = np.array([end_id], "<u4").tobytes()
         for batch in slices(batches, text, 1 << 20):
             key_type = batch.column(key).type
-            values = [x or "" for x in batch.column(text).to_pylist()]
-            for name, encoded in zip(batch.column(key).to_pylist(), token_ids(values, tokenizer_file), strict=True):
+            every, counts = encoder(tokenizer_file).encode(*utf8(batch.column(text)))
+            # The end id after each text.
+            ends = np.cumsum(counts + 1)
+            closed = np.full(len(every) + len(counts), end_id, np.uint32)
+            inside = np.ones(len(closed), bool)
+            inside[ends - 1] = False
+            closed[inside] = every
+            names, at = batch.column(key).to_pylist(), 0
+            while at < len(names):
+                # Whole texts up to the one that fills the segment.
+                base = int(ends[at - 1]) if at else 0
+                stop = min(len(names), int(np.searchsorted(ends, base + SEGMENT - held)) + 1)
+                keys += names[at:stop]
+                starts += (ends[at:stop] - counts[at:stop] - 1 - base + held).tolist()
+                ids.append(closed[base : ends[stop - 1]])
+                held += int(ends[stop - 1]) - base
+                at = stop
                 if held >= SEGMENT:
                     yield row()
                     segment, first = segment + 1, first + held
                     keys, ids, starts, held = [], [], [], 0
-                keys.append(name)
-                starts.append(held)
-                ids.append(encoded + end)
-                held += len(encoded) // 4 + 1
         if held:
             yield row()
 
@@ -210,4 +295,5 @@ def read(spark: SparkSession, folder: str, key: str = "doc_id") -> DataFrame:
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     sizes = segments.groupBy("shard").agg(F.sum("n_ids").alias("size"))
     offsets = sizes.select("shard", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("base"))
-    return documents.join(offsets, "shard").select(key, (F.col("start") + F.col("base")).alias("start"), "n_tokens", "ids")
+    # A row for each writing task: small enough to broadcast, so the ids are not exchanged.
+    return documents.join(F.broadcast(offsets), "shard").select(key, (F.col("start") + F.col("base")).alias("start"), "n_tokens", "ids")
