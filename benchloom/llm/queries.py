@@ -8,7 +8,17 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from benchloom.llm import bpe, compression, decontaminate, jaccard, language_model, quality_rules, substrings, token_files
+from benchloom.llm import (
+    bpe,
+    compression,
+    decontaminate,
+    jaccard,
+    language_model,
+    quality_rules,
+    secret_links,
+    substrings,
+    token_files,
+)
 from benchloom.llm.shared import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -166,3 +176,9 @@ cls AS (SELECT a AS doc_id, min(b) AS class_id FROM reach GROUP BY a),
 cnt AS (SELECT a AS doc_id, count(*) AS k FROM link GROUP BY a)
 SELECT doc_id, class_id, coalesce(k, 0) AS n_links FROM cls LEFT JOIN cnt USING (doc_id)
 """
+
+
+@query
+def op6_secret_links(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets in every document."""
+    return secret_links.digest(secret_links.find(table(spark, folder, "documents")), secret_links.KINDS[:3])
