@@ -14,8 +14,10 @@ from benchloom.llm import (
     decontaminate,
     jaccard,
     language_model,
+    personal_data,
     quality_rules,
     secret_links,
+    spans,
     substrings,
     token_files,
 )
@@ -181,4 +183,10 @@ SELECT doc_id, class_id, coalesce(k, 0) AS n_links FROM cls LEFT JOIN cnt USING
 @query
 def op6_secret_links(spark: SparkSession, folder: str) -> DataFrame:
     """Secrets in every document."""
-    return secret_links.digest(secret_links.find(table(spark, folder, "documents")), secret_links.KINDS[:3])
+    return spans.digest(secret_links.find(table(spark, folder, "documents")), secret_links.KINDS[:3])
+
+
+@query
+def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every document."""
+    return spans.digest(personal_data.find(table(spark, folder, "documents")), personal_data.KINDS)

@@ -6,7 +6,7 @@ in proportion to the text, and in a text with very many matches to their number.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 #: Running sums are made by runs of so many values, since each step copies what it has gathered.
@@ -67,6 +67,14 @@ def places(found: Column, kind: str, order: int) -> Column:
 PLACES = "array<struct<start: bigint, order: int, kind: string, end: bigint>>"
 
 
+def sweeps(*keys: str) -> tuple[WindowSpec, WindowSpec]:
+    """For each place its predecessors in the text, and its successors, which are those before it in the reverse order:
+    both windows grow row by row, so they are linear."""
+    rising = Window.partitionBy(*keys).orderBy("start", "order", "end")
+    falling = Window.partitionBy(*keys).orderBy(F.desc("start"), F.desc("order"), F.desc("end"))
+    return tuple(x.rowsBetween(Window.unboundedPreceding, -1) for x in (rising, falling))
+
+
 def listed(spans: Column) -> Column:
     """``kind:start:end`` of places, sorted, joined by commas."""
     return F.array_join(
@@ -76,3 +84,14 @@ def listed(spans: Column) -> Column:
         ),
         ",",
     )
+
+
+def digest(found: DataFrame, kinds: tuple[str, ...], key: str = "doc_id") -> DataFrame:
+    """The number of base spans of each kind, a hash of their list, and the list of all spans."""
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select(
+        key, *map(number, kinds), F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans")
+    )
