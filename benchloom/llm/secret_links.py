@@ -17,11 +17,11 @@ Only the named columns are read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from benchloom.llm.components import written
-from benchloom.llm.spans import PLACES, listed, matches, places
+from benchloom.llm.spans import PLACES, matches, places, sweeps
 
 REACH = 300
 
@@ -66,8 +66,7 @@ def linked(rows: DataFrame) -> DataFrame:
     """``row, spans``: the weak parts that are reported, of rows ``row, parts``."""
     weak = F.exists("parts", lambda p: p["order"] > 2)
     exploded = rows.where(weak).select("row", F.explode("parts").alias("p")).select("row", "p.*")
-    before = Window.partitionBy("row").orderBy("start", "order", "end").rowsBetween(Window.unboundedPreceding, -1)
-    after = Window.partitionBy("row").orderBy("start", "order", "end").rowsBetween(1, Window.unboundedFollowing)
+    before, after = sweeps("row")
 
     def near(*kinds: str) -> Column:
         of = F.col("kind").isin(*kinds)
@@ -100,14 +99,3 @@ def find(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     strong = F.array_sort(F.filter("parts", lambda p: p["order"] <= 2))
     every = F.array_sort(F.concat(strong, F.coalesce("links", F.array().cast(PLACES))))
     return joined.select(F.col("key").alias(key), strong.alias("base"), every.alias("spans"))
-
-
-def digest(found: DataFrame, kinds: tuple[str, ...], key: str = "doc_id") -> DataFrame:
-    """The number of base spans of each kind, a hash of their list, and the list of all spans."""
-
-    def number(kind: str) -> Column:
-        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
-
-    return found.select(
-        key, *map(number, kinds), F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans")
-    )
