@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from benchloom.llm.columns import LETTERS_DIGITS, Words, lower, slices, utf8
 from benchloom.llm.fm_index import FMIndex
 from benchloom.llm.shared import mapped, new_folder, write_file
-from benchloom.llm.ship import arrow_map, kind
+from benchloom.llm.ship import arrow_map, with_struct
 
 WINDOW = 13
 #: Text of the benchmark in one block, and of the documents in one shard.
@@ -125,19 +125,25 @@ def occurrences(block: dict, found: Words, hashes: np.ndarray) -> tuple[np.ndarr
 def hits(
     documents: DataFrame,
     benchmark: DataFrame,
-    key: str = "doc_id",
     text: str = "text",
     item: str = "item_id",
     item_text: str = "text",
     window: int = WINDOW,
+    result: str = "hits",
 ) -> DataFrame:
-    """``key, n_words, n_hit, items, spans`` of every document.
+    """The documents with one more column: ``n_words, n_hit, items, spans``.
 
     ``items`` are the different ids of items with a window in it; ``spans`` the merged runs of hit words, by the place of
     the first and of the one after the last.
     """
     places = build_blocks(benchmark, item, item_text, window)
     item_type = benchmark.schema[item].dataType.simpleString()
+    fields = {
+        "n_words": "bigint",
+        "n_hit": "bigint",
+        "items": f"array<{item_type}>",
+        "spans": "array<struct<start: bigint, end: bigint>>",
+    }
 
     def shard(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
         rows = pa.Table.from_batches(batches).combine_chunks()
@@ -169,16 +175,17 @@ def hits(
         )
         bounds = np.searchsorted(owner, np.arange(rows.num_rows + 1)).astype(np.int32)
         n_hit = np.bincount(document[hit], minlength=rows.num_rows)
-        return pa.record_batch(
+        added = pa.StructArray.from_arrays(
             [
-                rows.column(key).combine_chunks(),
                 pa.array(found.counts, pa.int64()),
                 pa.array(n_hit, pa.int64()),
                 pa.array([sorted(x - {None}) for x in listed], pa.list_(_arrow_type(item_type))),
                 pa.ListArray.from_arrays(pa.array(bounds), spans),
             ],
-            names=[key, "n_words", "n_hit", "items", "spans"],
+            names=list(fields),
         )
+        columns = [column.combine_chunks() for column in rows.columns]
+        return pa.record_batch([*columns, added], names=[*rows.column_names, result])
 
     def work(batches):
         held, size = [], 0
@@ -191,8 +198,7 @@ def hits(
         if held:
             yield shard(held)
 
-    shape = f"{kind(documents, key)}, n_words bigint, n_hit bigint, items array<{item_type}>, "
-    return arrow_map(documents.select(key, text), work, shape + "spans array<struct<start: bigint, end: bigint>>")
+    return arrow_map(documents, work, with_struct(documents, result, fields))
 
 
 def _arrow_type(name: str) -> pa.DataType:

@@ -60,7 +60,8 @@ def op3_token_files(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """The words of every document that stand in benchmark passages."""
-    found = decontaminate.hits(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    found = decontaminate.hits(documents, table(spark, folder, "benchmark")).select("doc_id", "hits.*")
     names = F.array_sort(F.transform("items", lambda x: x.cast("string")))
     return found.select(
         "doc_id",
