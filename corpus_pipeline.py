@@ -1,35 +1,68 @@
-"""The corpus pipeline: stages over ``documents``, each written as Parquet and read again as the next one's input."""
+"""The corpus pipeline: stages over ``documents``, each written as Parquet and read again as the next one's input.
+
+All stages but the last return the columns of documents, for the documents that they keep.
+"""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from benchloom.llm import bpe, decontaminate, jaccard, personal_data, quality_rules
+from benchloom.llm.shared import new_folder
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Quality rules: documents that fail the limits or the fitted trees go."""
+    rules = quality_rules.fit(docs, spark.read.parquet(f"{folder}/labels.parquet"))
+    return quality_rules.assess(docs, rules, result="__rules").where("__rules.kept").drop("__rules")
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """N-gram Jaccard join: of each class of similar documents the one with the smallest id stays."""
+    return jaccard.one_of_each(docs)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Benchmark decontamination: documents of which a twentieth or more stands in benchmark items go."""
+    found = decontaminate.hits(docs, spark.read.parquet(f"{folder}/benchmark.parquet"), result="__hits")
+    return found.where(~decontaminate.contaminated(F.col("__hits.n_words"), F.col("__hits.n_hit"))).drop("__hits")
+
 
-from benchloom.llm import bpe
-from benchloom.llm.shared import shared_folder
+def personal_data_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Personal data: every document stays, with the entities masked."""
+    clean = personal_data.redact(docs)
+    return clean.select(
+        *(F.length("text").cast("bigint").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns)
+    )
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Byte-level BPE: the ids of what is left of each text."""
+    """Byte-level BPE: the ids of each text, and a hash of what they decode to."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    return bpe.encode(docs, *ranks)
+    decoded = bpe.decode(bpe.encode(docs, *ranks), *ranks)
+    return decoded.select("doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", quality_stage),
+    ("near_duplicates", near_duplicate_stage),
+    ("decontamination", decontamination_stage),
+    ("personal_data", personal_data_stage),
     ("tokens", token_stage),
 ]
 
-#: The rows depend on fitted models and on a tokenizer, which SQL cannot express.
+#: The rows depend on fitted trees and on a tokenizer, which SQL cannot express.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, folder: str) -> DataFrame:
     """All stages in order over the whole of ``documents``."""
     docs = spark.read.parquet(f"{folder}/documents.parquet")
-    written = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    written = new_folder(spark, "pipeline")
     for name, stage in STAGES[:-1]:
         stage(spark, docs, folder).write.parquet(f"{written}/{name}")
         docs = spark.read.parquet(f"{written}/{name}")
