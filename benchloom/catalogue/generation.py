@@ -12,7 +12,7 @@ from benchloom.catalogue.datasets import BENCH, RULES_SQL, base_name, scale_of
 from benchloom.operators import conform
 from benchloom.sources import files
 from benchloom.sources.drawing import count_sources
-from benchloom.sources.tpcds_data import FIXED_ROWS, LINEAR_ROWS, SLOW_ROWS, Tpcds
+from benchloom.sources.tpcds_data import LINEAR_ROWS, ROWS, WHOLE_BELOW_ONE, Tpcds
 from benchloom.sources.tpch_data import Tpch
 
 ORDERS_SQL = "(SELECT unnest(range((SELECT count(*) FROM orders))) AS o)"
@@ -41,54 +41,90 @@ def _(spark, folder):
 
 @register(
     "gen_tpch_lines",
-    "lines:i orders:i first_key:i last_key:i",
-    f"""SELECT n AS lines, count(*) AS orders, min(o // 8 * 32 + o % 8 + 1) AS first_key,
-               max(o // 8 * 32 + o % 8 + 1) AS last_key FROM {LINES_SQL} AS l GROUP BY n""",
+    "lines:i orders:i first_key:i last_key:i given_orders:i",
+    f"""WITH made AS (SELECT n AS lines, count(*) AS orders, min(o // 8 * 32 + o % 8 + 1) AS first_key,
+                             max(o // 8 * 32 + o % 8 + 1) AS last_key FROM {LINES_SQL} AS l GROUP BY n),
+             given AS (SELECT lines, count(*) AS given_orders
+                       FROM (SELECT count(*) AS lines FROM lineitem GROUP BY l_orderkey) AS g GROUP BY lines)
+        SELECT lines, coalesce(orders, 0) AS orders, first_key, last_key, coalesce(given_orders, 0) AS given_orders
+        FROM made FULL JOIN given USING (lines)""",
 )
 def _(spark, folder):
+    # How many orders have how many lines, as generated and as given.
     per_order = tpch(spark, folder).lineitem().groupBy("l_orderkey").agg(F.count("*").alias("lines"))
-    return per_order.groupBy("lines").agg(
+    made = per_order.groupBy("lines").agg(
         F.count("*").alias("orders"), F.min("l_orderkey").alias("first_key"), F.max("l_orderkey").alias("last_key")
     )
+    given = table(spark, folder, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("lines"))
+    given = given.groupBy("lines").agg(F.count("*").alias("given_orders"))
+    return made.join(given, "lines", "full_outer").fillna(0, ["orders", "given_orders"])
 
 
 @register(
     "gen_tpch_offers",
-    "ps_suppkey:i offers:i price:d",
-    f"""SELECT (p + i * (s // 4 + (p - 1) // s)) % s + 1 AS ps_suppkey, count(*) AS offers,
-               sum(90000 + p // 10 % 20001 + 100 * (p % 1000)) / 100.0 AS price
-        FROM {PARTS_SQL} AS r, (SELECT unnest([0, 1, 2, 3]) AS i) AS n, (SELECT {SUPPLIERS_SQL} AS s) AS c
-        GROUP BY ALL""",
+    "ps_suppkey:i offers:i price:d given_balance:d",
+    f"""SELECT s_suppkey AS ps_suppkey, coalesce(offers, 0) AS offers, price, s_acctbal AS given_balance
+        FROM supplier LEFT JOIN (
+            SELECT (p + i * (s // 4 + (p - 1) // s)) % s + 1 AS ps_suppkey, count(*) AS offers,
+                   sum(90000 + p // 10 % 20001 + 100 * (p % 1000)) / 100.0 AS price
+            FROM {PARTS_SQL} AS r, (SELECT unnest([0, 1, 2, 3]) AS i) AS n, (SELECT {SUPPLIERS_SQL} AS s) AS c
+            GROUP BY ALL) AS made ON s_suppkey = ps_suppkey""",
 )
 def _(spark, folder):
+    # What each given supplier would offer.
     made = tpch(spark, folder)
     prices = made.part().select("p_partkey", "p_retailprice")
-    return (
+    offers = (
         made.partsupp()
         .join(prices, F.col("ps_partkey") == F.col("p_partkey"))
         .groupBy("ps_suppkey")
         .agg(F.count("*").alias("offers"), F.sum("p_retailprice").alias("price"))
     )
+    given = table(spark, folder, "supplier").select(
+        F.col("s_suppkey").alias("ps_suppkey"), F.col("s_acctbal").alias("given_balance")
+    )
+    return given.join(offers, "ps_suppkey", "left").fillna(0, ["offers"])
+
+
+# Keys of the generated parents: whole numbers from 0 or 1 on.
+MADE_KEYS_SQL = {
+    "region": "0 AND 4",
+    "nation": "0 AND 24",
+    "supplier": f"1 AND {SUPPLIERS_SQL}",
+    "customer": "1 AND 150000 * (SELECT count(*) FROM orders) // 1500000",
+    "part": "1 AND 200000 * (SELECT count(*) FROM orders) // 1500000",
+}
+GIVEN_KEYS = [key for key in conform.TPCH_FOREIGN_KEYS if key[0] != "partsupp" and key[2] in MADE_KEYS_SQL]
 
 
 @register(
     "gen_tpch_orphans",
-    "child:s child_column:s orphan_keys:i orphan_rows:i",
-    "SELECT * FROM (VALUES {}) AS v(child, child_column, orphan_keys, orphan_rows)".format(
-        ", ".join(f"('{child}', '{column}', 0, 0)" for child, column, _, _ in conform.TPCH_FOREIGN_KEYS)
+    "child:s child_column:s parent:s orphan_keys:i orphan_rows:i",
+    " UNION ALL ".join(
+        f"SELECT '{child}' AS child, '{column}' AS child_column, '{parent}' AS parent, "
+        f"count(DISTINCT {column}) AS orphan_keys, count(*) AS orphan_rows FROM {child} "
+        f"WHERE NOT {column} BETWEEN {MADE_KEYS_SQL[parent]}"
+        for child, column, parent, _ in GIVEN_KEYS
     ),
 )
 def _(spark, folder):
-    return conform.fk_orphans(tpch(spark, folder).tables())
+    # The given rows against the generated parents: given keys start at 0 where the generator's start at 1.
+    made = tpch(spark, folder)
+    found = []
+    for key in GIVEN_KEYS:
+        pair = {key[0]: table(spark, folder, key[0]), key[2]: made.tables()[key[2]]}
+        found.append(conform.fk_orphans(pair, (key,)))
+    return reduce(DataFrame.unionByName, found)
 
 
 @register(
     "gen_tpch_order_totals",
-    "orders:i wrong_totals:i wrong_statuses:i",
-    "SELECT count(*) AS orders, 0 AS wrong_totals, 0 AS wrong_statuses FROM orders",
+    "given_orders:i matched:i wrong_totals:i wrong_statuses:i",
+    f"""SELECT count(*) AS given_orders, count(k) AS matched, 0 AS wrong_totals, 0 AS wrong_statuses
+        FROM orders LEFT JOIN (SELECT o // 8 * 32 + o % 8 + 1 AS k FROM {ORDERS_SQL} AS r) AS made ON o_orderkey = k""",
 )
 def _(spark, folder):
-    # Totals and statuses of orders against their lines, which are made by another plan.
+    # For the given keys, totals and statuses of generated orders against their lines, which are made by another plan.
     made = tpch(spark, folder)
     cents = F.floor(
         F.col("l_extendedprice") * 100 * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))
@@ -99,34 +135,53 @@ def _(spark, folder):
         F.count("*").alias("lines"),
     )
     status = F.when(F.col("open") == 0, "F").when(F.col("open") == F.col("lines"), "O").otherwise("P")
-    joined = made.orders().join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    given = table(spark, folder, "orders").select(F.col("o_orderkey").alias("given"))
+    orders = made.orders().select("o_orderkey", "o_totalprice", "o_orderstatus")
+    joined = (
+        given.join(orders, F.col("given") == F.col("o_orderkey"), "left")
+        .join(lines, F.col("given") == F.col("l_orderkey"), "left")
+    )
+    met = F.col("o_orderkey").isNotNull()
     return joined.agg(
-        F.count("*").alias("orders"),
-        F.count_if(~F.col("o_totalprice").eqNullSafe(F.col("total"))).alias("wrong_totals"),
-        F.count_if(~F.col("o_orderstatus").eqNullSafe(status)).alias("wrong_statuses"),
+        F.count("*").alias("given_orders"),
+        F.count_if(met).alias("matched"),
+        F.count_if(met & ~F.col("o_totalprice").eqNullSafe(F.col("total"))).alias("wrong_totals"),
+        F.count_if(met & ~F.col("o_orderstatus").eqNullSafe(status)).alias("wrong_statuses"),
     )
 
 
 def _tpcds_counts_sql() -> str:
-    sf = "((SELECT count(*) FROM orders) / 1500000.0)"
-    rows = [f"SELECT '{t}' AS tbl, {n} AS n" for t, n in FIXED_ROWS.items()]
-    rows += [f"SELECT '{t}', greatest(1, {n} * (SELECT count(*) FROM orders) // 1500000)" for t, n in LINEAR_ROWS.items()]
-    slow = {t: f"greatest(1, CAST(floor({n} * sqrt({sf}) + 1e-9) AS BIGINT))" for t, n in SLOW_ROWS.items()}
-    rows += [f"SELECT '{t}', {n}" for t, n in slow.items()]
-    rows.append(f"SELECT 'inventory', 261 * greatest(1, {slow['item']} // 2) * {slow['warehouse']}")
+    """Rows below scale 1, at which results are compared."""
+    shrunk = "greatest(1, {} * (SELECT count(*) FROM orders) // 1500000)"
+    first = {table: listed[0] for table, listed in ROWS.items()} | LINEAR_ROWS
+    rows = [f"SELECT '{t}' AS tbl, {n if t in WHOLE_BELOW_ONE else shrunk.format(n)} AS n" for t, n in first.items()]
+    item, warehouse = (shrunk.format(first[t]) for t in ("item", "warehouse"))
+    rows.append(f"SELECT 'inventory', 261 * greatest(1, {item} // 2) * {warehouse}")
     return " UNION ALL ".join(rows)
 
 
-@register("gen_tpcds_counts", "table:s rows:i", f'SELECT tbl AS "table", n AS rows FROM ({_tpcds_counts_sql()}) AS c')
+GIVEN_ORDERS = "(SELECT count(*) FROM orders)"
+
+
+def with_given_orders(spark: SparkSession, folder: str, df: DataFrame) -> DataFrame:
+    """How many given orders the scale factor stands for, next to what was made of it."""
+    return df.withColumn("given_orders", table(spark, folder, "orders").agg(F.count("*")).scalar())
+
+
+@register(
+    "gen_tpcds_counts",
+    "table:s rows:i given_orders:i",
+    f'SELECT tbl AS "table", n AS rows, {GIVEN_ORDERS} AS given_orders FROM ({_tpcds_counts_sql()}) AS c',
+)
 def _(spark, folder):
-    return count_sources(Tpcds(spark, scale_of(spark, folder)).tables())
+    return with_given_orders(spark, folder, count_sources(Tpcds(spark, scale_of(spark, folder)).tables()))
 
 
 @register(
     "gen_tpcds_returns",
-    "channel:s sales:i distinct_sales:i returns:i matched:i",
-    """SELECT channel, sales, sales AS distinct_sales, rets AS returns, rets AS matched
-       FROM (SELECT channel, s * o // 1500000 AS sales, r * o // 1500000 AS rets
+    "channel:s sales:i distinct_sales:i returns:i matched:i given_orders:i",
+    """SELECT channel, sales, sales AS distinct_sales, rets AS returns, rets AS matched, o AS given_orders
+       FROM (SELECT channel, s * o // 1500000 AS sales, r * o // 1500000 AS rets, o
              FROM (VALUES ('store', 2880404, 287514), ('catalog', 1441548, 144067), ('web', 719384, 71763))
                   AS v(channel, s, r), (SELECT count(*) AS o FROM orders) AS c) AS n""",
 )
@@ -151,7 +206,7 @@ def _(spark, folder):
                 F.count_if(F.col("n").isNotNull() & F.col("r").isNotNull()).alias("matched"),
             ).withColumn("channel", F.lit(channel))
         )
-    return reduce(DataFrame.unionByName, found)
+    return with_given_orders(spark, folder, reduce(DataFrame.unionByName, found))
 
 
 @register(

@@ -135,7 +135,7 @@ def _(spark, folder):
     f"""WITH {derived.ATTEMPTS_SQL}
         SELECT m.tbl AS "table", m.uri, CASE WHEN seen OR verified THEN 'registered'
                WHEN rejected AND state_seen THEN 'uploaded_unregistered' ELSE 'commit_unknown' END AS state
-        FROM marked AS m JOIN outcomes AS o ON o.tbl = m.tbl""",
+        FROM marked AS m LEFT JOIN outcomes AS o ON o.tbl = m.tbl""",
 )
 def _(spark, folder):
     return outcome.classify_parts(*derived.attempts(spark, folder))
@@ -146,10 +146,10 @@ def _(spark, folder):
     "table:s status:s files:i known_files:i",
     f"""WITH {derived.ATTEMPTS_SQL},
         counted AS (SELECT tbl, count(*) AS files, count(*) FILTER (seen) AS known_files FROM marked GROUP BY tbl)
-        SELECT c.tbl AS "table", CASE WHEN verified THEN 'succeeded' WHEN state_seen AND files = known_files
+        SELECT o.tbl AS "table", CASE WHEN verified THEN 'succeeded' WHEN state_seen AND files = known_files
                THEN 'failed' WHEN rejected AND state_seen THEN 'failed' ELSE 'uncertain' END AS status,
-               files, known_files
-        FROM counted AS c JOIN outcomes AS o ON o.tbl = c.tbl""",
+               coalesce(files, 0) AS files, coalesce(known_files, 0) AS known_files
+        FROM outcomes AS o LEFT JOIN counted AS c ON o.tbl = c.tbl""",
 )
 def _(spark, folder):
     return outcome.classify_tables(*derived.attempts(spark, folder))

@@ -195,6 +195,17 @@ def tpch_count_violations(totals: DataFrame, sf: Decimal) -> DataFrame:
     return exact.unionByName(lineitem_bound_violations(totals))
 
 
+def tpcds_count_violations(totals: DataFrame, sf: Decimal) -> DataFrame:
+    """Tables that have not the rows listed for the scale factor; a table without files counts as no rows."""
+    from benchloom.sources.tpcds_data import row_counts
+
+    rules = constant_rows(totals.sparkSession, "table string, wanted bigint", list(row_counts(sf).items()))
+    joined = rules.join(totals, "table", "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
+    return violation(
+        joined.where("rows <> wanted"), "row_count", F.col("table"), F.col("table"), F.col("wanted"), F.col("rows")
+    )
+
+
 def lineitem_bounds(totals: DataFrame) -> DataFrame:
     """``(orders, lineitem, within)``: every order has between one and seven lines on average."""
     both = totals.agg(
@@ -242,8 +253,8 @@ def fk_orphans(tables: dict[str, DataFrame], keys=TPCH_FOREIGN_KEYS) -> DataFram
     """
     found = []
     for child, child_column, parent, parent_column in keys:
-        if child not in tables or parent not in tables:
-            continue
+        if absent := {child, parent} - set(tables):
+            raise ValueError(f"{child}.{child_column} refers to {parent}, but {', '.join(sorted(absent))} is not given")
         used = (
             tables[child]
             .where(F.col(child_column).isNotNull())
@@ -327,6 +338,7 @@ def dataset_violations(
     if bench == "tpch":
         checks.append(tpch_count_violations(totals, sf))
     else:
+        checks.append(tpcds_count_violations(totals, sf))
         empty = parts.sparkSession.createDataFrame([], "table string")
         checks.append(source_set_violations(sources if sources is not None else empty, bench))
     return reduce(DataFrame.unionByName, checks)

@@ -22,7 +22,7 @@ def is_definite_rejection(error_class: Column) -> Column:
 
 
 def classify_parts(parts: DataFrame, known: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """Add ``state`` to every file of an attempt.
+    """Add ``state`` to every file of an attempt; without an outcome of its table nothing is known of its commit.
 
     The join with ``outcomes`` is on the table and may be hot when one table owns most files; that side
     has one row per table, so Spark broadcasts it while it is small and AQE splits the hot key when not.
@@ -33,20 +33,20 @@ def classify_parts(parts: DataFrame, known: DataFrame, outcomes: DataFrame) -> D
         F.col("verified").alias("_verified"),
     )
     state = (
-        F.when(F.col("_known") | F.col("_verified"), "registered")
+        F.when(F.coalesce("_known", F.lit(False)) | F.coalesce("_verified", F.lit(False)), "registered")
         .when(F.col("_rejected") & F.col("_seen"), "uploaded_unregistered")
         .otherwise("commit_unknown")
     )
     return (
         parts.join(seen, ["table", "uri"], "left")
-        .join(facts, "table")
+        .join(facts, "table", "left")
         .withColumn("state", state)
         .drop("_known", "_rejected", "_seen", "_verified")
     )
 
 
 def classify_tables(parts: DataFrame, known: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """Status per table: ``(table, status, files, known_files)``.
+    """Status per table with an outcome: ``(table, status, files, known_files)``; a table without files has 0 of both.
 
     A verified table succeeded whatever the answer was. If all files are there but the check failed, or
     the commit was refused for certain, it failed. Everything else stays uncertain.
@@ -60,13 +60,12 @@ def classify_tables(parts: DataFrame, known: DataFrame, outcomes: DataFrame) ->
     )
     status = (
         F.when(F.col("verified"), "succeeded")
-        .when(F.col("state_seen") & (F.col("known_files") == F.col("files")), "failed")
+        .when(F.col("state_seen") & (F.col("files") > 0) & (F.col("known_files") == F.col("files")), "failed")
         .when(is_definite_rejection(F.col("error_class")) & F.col("state_seen"), "failed")
         .otherwise("uncertain")
     )
-    return outcomes.join(counted, "table").withColumn("status", status).select(
-        "table", "status", "files", "known_files"
-    )
+    counts = outcomes.join(counted, "table", "left").fillna(0, ["files", "known_files"])
+    return counts.withColumn("status", status).select("table", "status", "files", "known_files")
 
 
 def after_interrupt(tables: DataFrame) -> DataFrame:

@@ -356,8 +356,11 @@ def verify_load(
     if not reports.join(verify.rejected_reports(reports), "run_id", "left_semi").isEmpty():
         raise ValueError("expected a load report of format version 1")
     tables = verify.report_tables(reports)
-    first = tables.select("benchmark", F.element_at("table_identifier", 1).alias("namespace")).first()
-    bench, namespace = first["benchmark"], first["namespace"]
+    loads = tables.select("run_id", "benchmark", F.element_at("table_identifier", 1).alias("namespace")).distinct()
+    found = loads.limit(2).collect()
+    if len(found) != 1:
+        raise ValueError("the report must be of one run of one benchmark in one namespace")
+    bench, namespace = found[0]["benchmark"], found[0]["namespace"]
     succeeded = tables.where("status = 'succeeded'")
     ensure_checkpoint_dir(spark)
     wanted = verify.report_files(tables).checkpoint()

@@ -10,43 +10,45 @@ from __future__ import annotations
 
 import math
 from decimal import Decimal
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-from benchloom.schemas import STREET, TPCDS_LAYOUT, benchmark
+from benchloom.schemas import TPCDS_LAYOUT, benchmark
 from benchloom.sources.drawing import choose, draw, finish, numbered, output_parts
 
-# Rows at scale 1 by growth. "fixed" tables never grow, "linear" ones grow with the scale
-# factor, "slow" ones with its square root.
-FIXED_ROWS = {
-    "customer_demographics": 1_920_800,
-    "date_dim": 73_049,
-    "household_demographics": 7_200,
-    "income_band": 20,
-    "reason": 35,
-    "ship_mode": 20,
-    "time_dim": 86_400,
+# Rows of the public specification at these scale factors. Inventory follows from items and warehouses.
+SCALES = (1, 10, 100, 1_000, 3_000, 10_000, 30_000, 100_000)
+ROWS = {
+    "call_center": (6, 24, 30, 42, 48, 54, 60, 60),
+    "catalog_page": (11_718, 12_000, 20_400, 30_000, 36_000, 40_000, 46_000, 50_000),
+    "customer": (100_000, 500_000, 2_000_000, 12_000_000, 30_000_000, 65_000_000, 80_000_000, 100_000_000),
+    "customer_address": (50_000, 250_000, 1_000_000, 6_000_000, 15_000_000, 32_500_000, 40_000_000, 50_000_000),
+    "customer_demographics": (1_920_800,) * 8,
+    "date_dim": (73_049,) * 8,
+    "household_demographics": (7_200,) * 8,
+    "income_band": (20,) * 8,
+    "item": (18_000, 102_000, 204_000, 300_000, 360_000, 402_000, 462_000, 502_000),
+    "promotion": (300, 500, 1_000, 1_500, 1_800, 2_000, 2_300, 2_500),
+    "reason": (35, 45, 55, 65, 67, 70, 72, 75),
+    "ship_mode": (20,) * 8,
+    "store": (12, 102, 402, 1_002, 1_350, 1_500, 1_704, 1_902),
+    "time_dim": (86_400,) * 8,
+    "warehouse": (5, 10, 15, 20, 22, 25, 27, 30),
+    "web_page": (60, 200, 2_040, 3_000, 3_600, 4_002, 4_602, 5_004),
+    "web_site": (30, 42, 24, 54, 66, 78, 84, 96),
 }
+#: Rows at scale 1 of the tables that grow with the scale factor.
 LINEAR_ROWS = {
     "catalog_returns": 144_067,
     "catalog_sales": 1_441_548,
-    "customer": 100_000,
-    "customer_address": 50_000,
     "store_returns": 287_514,
     "store_sales": 2_880_404,
     "web_returns": 71_763,
     "web_sales": 719_384,
 }
-SLOW_ROWS = {
-    "call_center": 6,
-    "catalog_page": 11_718,
-    "item": 18_000,
-    "promotion": 300,
-    "store": 12,
-    "warehouse": 5,
-    "web_page": 60,
-    "web_site": 30,
-}
+#: Below scale 1, where the specification says nothing, these stay whole and all others shrink with the scale factor.
+WHOLE_BELOW_ONE = ("catalog_page", "date_dim", "household_demographics", "income_band", "ship_mode", "time_dim")
 INVENTORY_WEEKS = 261
 LINES_PER_TICKET = 12
 
@@ -75,6 +77,9 @@ FOREIGN_KEYS = {
     "income_band_sk": "income_band",
 }
 
+#: Columns of a postal address, without the table's prefix.
+ADDRESS = "street_number street_name street_type suite_number city county state zip country gmt_offset".split()
+
 # Our own words.
 PLAIN = "able,ought,anti,bar,cally,ation,eing,ese,pri,eseed,urban,local,public,early,recent,likely,major,social,formal,modern"
 STREETS = "Main,Oak,Park,Elm,Cedar,Lake,Hill,Maple,Pine,River,Spring,Church,Walnut,Sunset,View,First,Second,Third"
@@ -97,19 +102,36 @@ DAYS = "Sunday,Monday,Tuesday,Wednesday,Thursday,Friday,Saturday"
 
 
 def row_counts(sf: Decimal) -> dict[str, int]:
-    rows = dict(FIXED_ROWS)
-    rows.update({t: max(int(n * sf), 1) for t, n in LINEAR_ROWS.items()})
-    root = math.sqrt(float(sf))
-    rows.update({t: max(int(n * root + 1e-9), 1) for t, n in SLOW_ROWS.items()})
+    """Rows of each table: those listed, between two listed scale factors in proportion to the logarithms."""
+    rows = {table: max(int(n * sf), 1) for table, n in LINEAR_ROWS.items()}
+    for table, listed in ROWS.items():
+        if sf < 1:
+            rows[table] = listed[0] if table in WHOLE_BELOW_ONE else max(int(listed[0] * sf), 1)
+            continue
+        upper = min(next((i for i, scale in enumerate(SCALES) if scale >= sf), len(SCALES) - 1), len(SCALES) - 1)
+        if upper == 0 or SCALES[upper] == sf:
+            rows[table] = listed[upper]
+            continue
+        low, high = listed[upper - 1], listed[upper]
+        share = math.log(float(sf) / SCALES[upper - 1]) / math.log(SCALES[upper] / SCALES[upper - 1])
+        rows[table] = round(low * (high / low) ** share)
     rows["inventory"] = INVENTORY_WEEKS * max(rows["item"] // 2, 1) * rows["warehouse"]
     return {table: rows[table] for table in TPCDS_LAYOUT}
 
 
+@lru_cache(maxsize=None)
+def bare_columns(table: str) -> tuple[str, tuple[str, ...]]:
+    """A table's column prefix and its column names without it."""
+    names = [column for column, _ in benchmark("tpcds")[table]]
+    prefix = names[0].split("_")[0] + "_"
+    return prefix, tuple(name.removeprefix(prefix) for name in names)
+
+
 def foreign_key_table(table: str, column: str) -> str | None:
     """Table that a column refers to; a table's own key refers to nothing."""
-    prefix, layout = TPCDS_LAYOUT[table]
+    prefix, names = bare_columns(table)
     bare = column[len(prefix):]
-    if not bare.endswith("_sk") or bare == layout.split()[0] and table in FIXED_ROWS | SLOW_ROWS | {"customer": 0, "customer_address": 0}:
+    if not bare.endswith("_sk") or bare == names[0] and table in ROWS:
         return None
     for ending, target in FOREIGN_KEYS.items():
         if bare.endswith(ending):
@@ -155,12 +177,12 @@ class Tpcds:
         return f"if(({word} & 31) = 0, null, {first} + shiftrightunsigned({word}, 5) % {rows})"
 
     def _default(self, table: str, column: str, kind: str, key: str) -> str:
-        prefix, _ = TPCDS_LAYOUT[table]
+        prefix, _ = bare_columns(table)
         bare, tag = column[len(prefix):], self._tag(table, column)
         parent = foreign_key_table(table, column)
         if parent:
             return self.reference(parent, tag, key)
-        if bare in STREET.split():
+        if bare in ADDRESS:
             return self._street(bare, tag, key)
         if bare == "rec_start_date":
             return f"date'1997-03-13' + cast(365 * {draw(tag, key, 4)} as int)"
@@ -190,7 +212,7 @@ class Tpcds:
         }[bare]
 
     def _build(self, df: DataFrame, table: str, key: str, values: dict[str, str]) -> DataFrame:
-        prefix, _ = TPCDS_LAYOUT[table]
+        prefix, _ = bare_columns(table)
         given = {prefix + name: value for name, value in values.items()}
         full = {
             column: given.get(column) or self._default(table, column, kind, key)
@@ -200,7 +222,7 @@ class Tpcds:
 
     def _dimension(self, table: str, values: dict[str, str], start: int = 1) -> DataFrame:
         """Table keyed by a running number ``k``; its first column is the key unless given."""
-        own = TPCDS_LAYOUT[table][1].split()[0]
+        own = bare_columns(table)[1][0]
         df = numbered(self.spark, self.rows[table], "k", self.parts, 1, start)
         return self._build(df, table, "k", {own: "k", **values})
 
@@ -514,9 +536,9 @@ class Tpcds:
     TICKET_ENDINGS = ("sold_date_sk", "sold_time_sk", "customer_sk", "cdemo_sk", "hdemo_sk", "addr_sk", "store_sk")
 
     def _ticket_references(self, table: str) -> dict[str, str]:
-        prefix, layout = TPCDS_LAYOUT[table]
+        prefix, names = bare_columns(table)
         picked = {}
-        for bare in layout.split():
+        for bare in names:
             if bare.endswith(self.TICKET_ENDINGS) and not bare.startswith(("returned_", "return_")):
                 picked[bare] = self._default(table, prefix + bare, "I", "ticket")
         return picked
@@ -525,7 +547,7 @@ class Tpcds:
         keys = numbered(self.spark, self.rows[table], "s", self.parts, self.least, 0)
         values = self._ticket_references(table) | self._sale_columns(ship) | {number: "ticket"}
         if ship:
-            sold = self._default(table, TPCDS_LAYOUT[table][0] + "sold_date_sk", "I", "ticket")
+            sold = self._default(table, bare_columns(table)[0] + "sold_date_sk", "I", "ticket")
             values["ship_date_sk"] = f"({sold}) + 2 + {draw(channel + 2, 's', 60)}"
         return self._build(self._sale_facts(keys, channel, ship), table, "s", values)
 
@@ -536,9 +558,9 @@ class Tpcds:
         facts = self._sale_facts(keys, channel, True).selectExpr(
             "*", f"1 + {draw(channel + 3, 's', 'quantity')} as returned"
         ).selectExpr("*", "sales * returned as amount")
-        layout = TPCDS_LAYOUT[table][1].split()
+        layout = bare_columns(table)[1]
         values = {c: v for c, v in self._return_columns().items() if c in layout} | {number: "ticket"}
-        sold = self._default(sales, TPCDS_LAYOUT[sales][0] + "sold_date_sk", "I", "ticket")
+        sold = self._default(sales, bare_columns(sales)[0] + "sold_date_sk", "I", "ticket")
         values["returned_date_sk"] = f"({sold}) + 1 + {draw(channel + 4, 's', 90)}"
         return self._build(facts, table, "s", values)
 
