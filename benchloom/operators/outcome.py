@@ -9,11 +9,23 @@ Inputs are rows, because an unclear commit is a fact to be classified after the
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Error classes that prove a commit was refused; any other error leaves it open.
 DEFINITE_REJECTIONS = ("bad_request", "commit_conflict", "forbidden", "unauthorized")
+# SQL state classes and states that Spark's errors carry.
+REJECTED_STATES = {
+    "28": "unauthorized",
+    "42501": "forbidden",
+    "42K04": "commit_conflict",
+    "42710": "commit_conflict",
+    "42P07": "commit_conflict",
+    "428FT": "commit_conflict",
+    "22": "bad_request",
+    "42": "bad_request",
+}
 FINAL_STATUSES = ("succeeded", "skipped", "failed", "uncertain")
 
 
@@ -21,6 +33,19 @@ def is_definite_rejection(error_class: Column) -> Column:
     return F.coalesce(error_class.isin(*DEFINITE_REJECTIONS), F.lit(False))
 
 
+def error_class(error: Exception) -> str:
+    """The kind of a failed commit: a definite rejection where the error proves one, else the name of its class."""
+    if isinstance(error, PermissionError):
+        return "forbidden"
+    if isinstance(error, FileExistsError):
+        return "commit_conflict"
+    state = error.getSqlState() if isinstance(error, PySparkException) and hasattr(error, "getSqlState") else None
+    for length in (5, 2):
+        if state and state[:length] in REJECTED_STATES:
+            return REJECTED_STATES[state[:length]]
+    return type(error).__name__
+
+
 def classify_parts(parts: DataFrame, known: DataFrame, outcomes: DataFrame) -> DataFrame:
     """Add ``state`` to every file of an attempt; without an outcome of its table nothing is known of its commit.
 

@@ -8,7 +8,7 @@ cluster.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from decimal import Decimal
@@ -18,8 +18,9 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from benchloom.functions.text import redact_text, uri_problem
 from benchloom.operators import conform, inventory, outcome, verify
-from benchloom.schemas import benchmark
+from benchloom.schemas import benchmark, empty_table
 from benchloom.session import constant_rows, ensure_checkpoint_dir
 from benchloom.sinks import publish
 from benchloom.sources import files
@@ -65,6 +66,8 @@ class Load:
     files: DataFrame | None
     skipped: list[str] = field(default_factory=list)
     errors: dict[str, str] = field(default_factory=dict)
+    warnings: list[str] = field(default_factory=list)
+    sources: DataFrame | None = None
 
 
 def generator(spark: SparkSession, bench: str, sf, parts: int | None = None) -> dict[str, DataFrame]:
@@ -159,16 +162,19 @@ def load(
     parts: int | None = None,
     workers: int = WORKERS,
     run_id: str | None = None,
+    allow_local: bool = False,
 ) -> Load:
     """Generate, check and publish a benchmark.
 
     Files are written once, to a folder of this run below ``location``; tables and manifest rows are made
     only after the whole dataset passed. Existing tables stop the run before anything is generated, or are
-    left alone with ``on_exists="skip"``.
+    left alone with ``on_exists="skip"``. A location that others cannot read later is refused; ``allow_local``
+    admits a local one. Each step of a run is recorded before it begins, see :func:`read_record`.
     """
     if on_exists not in ("error", "skip"):
         raise ValueError("on_exists is 'error' or 'skip'")
     run_id, namespace = run_id or uuid.uuid4().hex, publish.namespace_name(namespace)
+    require_durable(spark, f"{location.rstrip('/')}/{run_id}", allow_local)
     names = list(benchmark(bench))
     present = publish.existing_tables(spark, namespace, names)
     if present and on_exists == "error":
@@ -178,10 +184,42 @@ def load(
         return Load(run_id, namespace, None, constant_rows(spark, TABLE_ROW, rows), None, present)
 
     root = f"{location.rstrip('/')}/{run_id}"
+    record(spark, root, run_id, 0, {name: "skipped" if name in present else "generating" for name in names}, present)
     dataset = generate(spark, bench, sf, root, parts, workers)
     return _publish(spark, dataset, namespace, run_id, present, checksum, workers)
 
 
+def require_durable(spark: SparkSession, uri: str, allow_local: bool = False) -> None:
+    """Refuse a location that is not one for good; a local one only if it is not allowed."""
+    found = spark.range(1).select(uri_problem(F.lit(uri)).alias("problem")).first().problem
+    if found and not (allow_local and found == "local"):
+        raise ValueError(f"the location is {found}")
+
+
+# --- record of a run ------------------------------------------------------------------------------
+
+
+def record(
+    spark: SparkSession, root: str, run_id: str, step: int, statuses: dict[str, str], created: Iterable[str] = ()
+) -> None:
+    """Note what a run is about to do with each table, in a folder of the step's own beside the data."""
+    rows = [(run_id, step, n, s, "begun" if step or n in created else None) for n, s in statuses.items()]
+    frame = constant_rows(spark, RECORD_ROW, rows)
+    frame.coalesce(1).write.mode("errorifexists").json(f"{root}_record/step-{step}")
+
+
+RECORD_ROW = "run_id string, step int, table string, status string, table_creation_state string"
+
+
+def read_record(spark: SparkSession, root: str) -> DataFrame:
+    """Last known status of every table of a run, also of one that was cut off: what was in flight is uncertain."""
+    steps = spark.read.schema(RECORD_ROW).json(f"{root}_record/step-*")
+    last = steps.groupBy("run_id", "table").agg(
+        F.max_by("status", "step").alias("status"), F.max("table_creation_state").alias("table_creation_state")
+    )
+    return outcome.after_interrupt(last)
+
+
 TABLE_ROW = (
     "run_id string, table string, status string, table_creation_state string, row_count bigint, size_bytes bigint, "
     "file_count bigint, table_uuid string"
@@ -207,21 +245,32 @@ def _publish(
         "generator-version": "1",
     }
     identities: dict[str, str] = {}
+    record(spark, dataset.root, run_id, 1, dict.fromkeys(active, "creating"))
+    publish.ensure_manifest(spark, namespace)
+    before = publish.read_manifest(spark, namespace)
 
     def create(name: str) -> None:
         path = f"{dataset.root}/{name}"
-        schema = spark.read.parquet(path).schema
-        identities[name] = publish.create_table(spark, namespace, name, schema, path, properties)
-
-    errors = {name: str(exc) for name, exc in for_each_table(spark, active, create, workers).items()}
+        source = spark.read.parquet(path)
+        identity = publish.create_table(spark, namespace, name, source.schema, path, properties)
+        if not conform.published_schema_violations(spark, f"{namespace}.{name}", source).isEmpty():
+            raise ValueError("the catalog has another schema than the files")
+        if not before.where(F.col("table") == name).isEmpty():
+            raise ValueError("a new table has registered files already")
+        identities[name] = identity
+
+    errors = {name: masked(exc) for name, exc in for_each_table(spark, active, create, workers).items()}
     created = [name for name in active if name in identities]
 
     # The bytes must still be the validated ones when they are registered. Hashing reads them all and
     # so knows their number; without hashing the files are listed again.
-    digests = None
+    digests, warnings = None, []
     if checksum:
         digests = files.file_digest(dataset.parts).checkpoint()
         after = digests.select("path", F.col("read_bytes").alias("size_bytes"))
+        copies = files.equal_content(dataset.parts.join(digests, "path"), "digest").count()
+        if copies:
+            warnings.append(f"files of equal content under several names: {copies}")
     else:
         after = files.list_parts(spark, dataset.root)
     changed = inventory.size_changes(dataset.parts.select("path", "table", "size_bytes"), after)
@@ -231,31 +280,37 @@ def _publish(
 
     attempt = dataset.parts.where(F.col("table").isin(ready))
     rows = publish.manifest_rows(attempt, digests, run_id, publish.new_snapshot())
-    error_class = None
-    try:
-        if ready:
-            publish.register(spark, namespace, rows)
-    except Exception as exc:  # whether the batch arrived is read back below, never assumed
-        error_class = type(exc).__name__
-        errors.update({name: str(exc) for name in ready})
-
-    registered = publish.read_manifest(spark, namespace).where(F.col("run_id") == run_id)
-    # The state as it was read back, for the tables' statuses and the files' states alike.
-    live = inventory.current_inventory(registered).checkpoint()
+    record(spark, dataset.root, run_id, 2, {n: "committing" if n in ready else "failed" for n in active})
+    # Each table on its own: one that fails does not take the others along. Whether a commit whose answer is an
+    # error arrived is read back below, never assumed.
+    refused = for_each_table(
+        spark, ready, lambda n: publish.register(spark, namespace, n, run_id, rows.where(F.col("table") == n)), workers
+    )
+    errors.update({name: masked(exc) for name, exc in refused.items()})
+
     expected = attempt.select("table", F.col("path").alias("uri"), "rows", "size_bytes")
+    registered, live = read_back(spark, namespace, run_id)
+    state_seen = registered is not None
+    if not state_seen:
+        registered = spark.createDataFrame([], publish.MANIFEST_SCHEMA)
+        live = inventory.current_inventory(registered)
+        errors.update({name: errors.get(name, "the manifest could not be read back") for name in ready})
     verdicts = inventory.inventory_verdicts(expected, live.where("problem is null"))
-    outcomes = verdicts.select(
+    classes = constant_rows(
+        spark, "table string, error_class string", [(n, outcome.error_class(exc)) for n, exc in refused.items()]
+    )
+    outcomes = verdicts.join(classes, "table", "left").select(
         "table",
-        F.lit(error_class).cast("string").alias("error_class"),
-        F.lit(True).alias("state_seen"),
-        (F.col("verdict") == "ok").alias("verified"),
+        "error_class",
+        F.lit(state_seen).alias("state_seen"),
+        (F.lit(state_seen) & (F.col("verdict") == "ok")).alias("verified"),
     )
     states = outcome.classify_parts(expected, live, outcomes)
 
     # One row per table from here on: at most 24.
     totals = files.table_totals(dataset.parts).join(verdicts.select("table", "verdict"), "table", "left")
     found = {r["table"]: r for r in totals.collect()}
-    status = {name: "succeeded" for name in ready if found[name]["verdict"] == "ok"}
+    status = {name: "succeeded" for name in ready if state_seen and found[name]["verdict"] == "ok"}
     if len(status) < len(ready):
         status = {r["table"]: r["status"] for r in outcome.classify_tables(expected, live, outcomes).collect()}
     table_rows = []
@@ -273,7 +328,26 @@ def _publish(
     recorded = registered.select("uri", "md5")
     file_rows = states.join(recorded, "uri", "left").withColumn("run_id", F.lit(run_id))
     tables = constant_rows(spark, TABLE_ROW, table_rows)
-    return Load(run_id, namespace, dataset.root, tables, file_rows, skipped, errors)
+    record(spark, dataset.root, run_id, 3, {row[1]: row[2] for row in table_rows})
+    return Load(run_id, namespace, dataset.root, tables, file_rows, skipped, errors, warnings, dataset.sources)
+
+
+def masked(error: Exception) -> str:
+    """The text of an error without secrets, links with credentials and control characters."""
+    spark = SparkSession.getActiveSession()
+    return spark.range(1).select(redact_text(F.lit(str(error))).alias("text")).first().text
+
+
+def read_back(spark: SparkSession, namespace: str, run_id: str, tries: int = 3) -> tuple[DataFrame | None, DataFrame | None]:
+    """(manifest rows of a run, its live files) as they are now, or nothing if no try could read them."""
+    for _ in range(tries):
+        try:
+            registered = publish.read_manifest(spark, namespace).where(F.col("run_id") == run_id)
+            # The state as it was read back, for the tables' statuses and the files' states alike.
+            return registered, inventory.current_inventory(registered).checkpoint()
+        except Exception:
+            spark.catalog.refreshTable(f"{namespace}.{publish.MANIFEST_TABLE}")
+    return None, None
 
 
 def require_loaded(result: Load) -> Load:
@@ -295,9 +369,9 @@ def write_report(result: Load, bench: str, sf, path: str) -> None:
     writing is spread and nothing grows with the number of files in one place.
     """
     spark = result.tables.sparkSession
-    if result.files is None:
-        parts = spark.createDataFrame([], "table string, line bigint, files array<string>")
-    else:
+    none = F.lit(None).cast("array<struct<local_path: string, row_count: bigint, size_bytes: bigint, remote_uri: string, state: string, md5: string>>")
+    bare = result.tables.withColumn("files", none)
+    if result.files is not None:
         file = F.struct(
             F.col("uri").alias("local_path"),
             F.col("rows").alias("row_count"),
@@ -307,12 +381,17 @@ def write_report(result: Load, bench: str, sf, path: str) -> None:
             "md5",
         )
         lines = F.greatest(F.lit(1), F.ceil(F.col("file_count") / FILES_PER_LINE))
-        sized = result.files.join(result.tables.select("table", "file_count"), "table")
+        # At most 24 rows, so the files stay where they are.
+        small = F.broadcast(result.tables)
+        sized = result.files.join(F.broadcast(result.tables.select("table", "file_count")), "table")
         parts = (
             sized.withColumn("line", F.pmod(F.xxhash64("uri"), lines))
             .groupBy("table", "line")
             .agg(F.collect_list(file).alias("files"))
         )
+        with_files = parts.join(small, "table").select(*bare.columns)
+        present = [r["table"] for r in result.files.select("table").distinct().collect()]
+        bare = with_files.unionByName(bare.where(~F.col("table").isin(present)))
     row = F.struct(
         "status",
         F.array(F.lit(result.namespace), "table").alias("table_identifier"),
@@ -323,6 +402,11 @@ def write_report(result: Load, bench: str, sf, path: str) -> None:
         "file_count",
         "files",
     )
+    failed = not result.tables.where("status not in ('succeeded', 'skipped')").isEmpty()
+    counts = F.lit(None).cast("map<string, bigint>")
+    if result.sources is not None:
+        found = [x for r in result.sources.collect() for x in (F.lit(r["table"]), F.lit(r["rows"]))]  # 24 tables
+        counts = F.create_map(*found).cast("map<string, bigint>")
     document = F.struct(
         F.lit(verify.REPORT_VERSION).alias("report_format_version"),
         "run_id",
@@ -330,10 +414,16 @@ def write_report(result: Load, bench: str, sf, path: str) -> None:
         F.lit(bench).alias("benchmark"),
         F.lit(str(sf)).alias("scale_factor"),
         F.array(F.lit(result.namespace)).alias("namespace"),
+        F.lit("failed" if failed else "succeeded").alias("status"),
+        F.current_timestamp().cast("string").alias("finished_at"),
+        F.struct(
+            F.lit("benchloom").alias("implementation"), F.lit("1").alias("version"), counts.alias("source_row_counts")
+        ).alias("generator"),
+        F.array(*map(F.lit, result.warnings)).cast("array<string>").alias("warnings"),
+        F.array(*(F.lit(f"{name}: {text}") for name, text in sorted(result.errors.items()))).cast("array<string>").alias("errors"),
         F.create_map("table", row).alias("tables"),
     )
-    joined = result.tables.join(parts, "table", "left")
-    joined.select(F.to_json(document).alias("value")).write.mode("errorifexists").text(path)
+    bare.select(F.to_json(document).alias("value")).write.mode("errorifexists").text(path)
 
 
 # --- verification ---------------------------------------------------------------------------------
@@ -347,6 +437,7 @@ def verify_load(
     checksum: bool = False,
     sample: bool = False,
     require_complete: bool = False,
+    allow_local: bool = False,
 ) -> DataFrame:
     """Findings about a published load, from its saved report: ``(check, table, subject, expected, actual)``.
 
@@ -367,6 +458,8 @@ def verify_load(
     names = [r["table"] for r in succeeded.select("table").distinct().collect()]  # at most 24
     if not names:
         raise ValueError("the report has no table to verify")
+    require_durable(spark, root, allow_local)
+    there = set(publish.existing_tables(spark, namespace, names))
 
     checks = [
         conform.violation(
@@ -384,6 +477,14 @@ def verify_load(
             replaced, "identity", F.col("table"), F.col("table"), F.col("expected_uuid"), F.col("actual_uuid")
         )
     )
+    unfit = wanted.select("table", "uri", uri_problem(F.col("uri")).alias("problem")).where("problem is not null")
+    if allow_local:
+        unfit = unfit.where("problem <> 'local'")
+    checks.append(conform.violation(unfit, "uri", F.col("table"), F.col("uri"), F.lit("durable"), F.col("problem")))
+    for name in sorted(there):
+        checks.append(
+            conform.published_schema_violations(spark, f"{namespace}.{name}", empty_table(spark, bench, name))
+        )
     live = inventory.current_inventory(publish.read_manifest(spark, namespace))
     listed = wanted.select("table", "uri", F.col("row_count").alias("rows"), "size_bytes")
     diff = inventory.inventory_diff(listed, live.where(F.col("table").isin(names)))
@@ -408,11 +509,21 @@ def verify_load(
             conform.violation(read, "decode", F.col("table"), F.col("uri"), F.col("row_count"), F.col("decoded_rows"))
         )
     if checksum:
-        recorded = wanted.select("table", "uri", "size_bytes", F.col("md5").alias("digest"))
-        read = files.file_digest(wanted.select(F.col("uri").alias("path")))
-        found = verify.digest_findings(recorded, read).join(recorded.select("table", "uri"), "uri")
+        for kind, column in (("md5", "md5"), ("sha256", "sha256")):
+            having = F.col("md5").isNotNull() if kind == "md5" else F.col("md5").isNull() & F.col("sha256").isNotNull()
+            recorded = wanted.where(having).select("table", "uri", "size_bytes", F.col(column).alias("digest"))
+            read = files.file_digest(recorded.select(F.col("uri").alias("path")), kind)
+            found = verify.digest_findings(recorded, read).join(recorded.select("table", "uri"), "uri")
+            checks.append(
+                conform.violation(
+                    found, "checksum", F.col("table"), F.col("uri"), F.col("digest"), F.col("read_digest")
+                )
+            )
+        bare = wanted.where("md5 is null and sha256 is null")
         checks.append(
-            conform.violation(found, "checksum", F.col("table"), F.col("uri"), F.col("digest"), F.col("read_digest"))
+            conform.violation(
+                bare, "no_checksum", F.col("table"), F.col("uri"), F.lit("a checksum"), F.lit("none recorded")
+            )
         )
     if sample:
         scanned = verify.sample_scan({name: spark.table(f"{namespace}.{name}") for name in names}).where("not ok")

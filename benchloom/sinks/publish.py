@@ -127,21 +127,39 @@ def manifest_rows(parts: DataFrame, digests: DataFrame | None, run_id: str, snap
     )
 
 
+MANIFEST_SCHEMA = (
+    "snapshot_id bigint, uri string, rows bigint, size_bytes bigint, md5 string, content string, `table` string, "
+    "run_id string"
+)
+
+
+def manifest_folder(spark: SparkSession, namespace: str) -> str:
+    return f"{spark.catalog.getDatabase(namespace).locationUri.rstrip('/')}/{MANIFEST_TABLE}"
+
+
 def read_manifest(spark: SparkSession, namespace: str) -> DataFrame:
     name = f"{namespace}.{MANIFEST_TABLE}"
     if spark.catalog.tableExists(name):
         return spark.table(name)
-    return spark.createDataFrame(
-        [],
-        "snapshot_id bigint, run_id string, table string, uri string, rows bigint, size_bytes bigint, md5 string, "
-        "content string",
-    )
+    return spark.createDataFrame([], MANIFEST_SCHEMA)
 
 
-def register(spark: SparkSession, namespace: str, rows: DataFrame) -> None:
-    """Append the files of one run as one batch; all tables of the run share the job."""
-    rows.write.mode("append").format("parquet").saveAsTable(f"{namespace}.{MANIFEST_TABLE}")
+def ensure_manifest(spark: SparkSession, namespace: str) -> None:
+    """The manifest has a folder for each table and run, so runs and tables never write to the same place."""
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS `{namespace}`.`{MANIFEST_TABLE}` ({MANIFEST_SCHEMA}) USING parquet "
+        f"PARTITIONED BY (`table`, run_id) LOCATION {_text(manifest_folder(spark, namespace))}"
+    )
+
 
+def register(spark: SparkSession, namespace: str, table: str, run_id: str, rows: DataFrame) -> None:
+    """Add the files of one table and run. A second attempt is an error, never a second copy."""
+    folder = f"{manifest_folder(spark, namespace)}/table={table}/run_id={run_id}"
+    rows.drop("table", "run_id").write.mode("errorifexists").parquet(folder)
+    spark.sql(
+        f"ALTER TABLE `{namespace}`.`{MANIFEST_TABLE}` ADD PARTITION (`table` = {_text(table)}, run_id = {_text(run_id)}) "
+        f"LOCATION {_text(folder)}"
+    )
 
 
 def new_snapshot() -> int:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import os
 import sys
 import uuid
 from collections.abc import Iterator
@@ -40,24 +41,42 @@ def root_path(root: str) -> str:
     return urlsplit(root).path.rstrip("/") if "://" in root else root.removeprefix("file:").rstrip("/")
 
 
-LISTED = "path string, size_bytes bigint, is_folder boolean"
+LISTED = "path string, relative string, size_bytes bigint, is_folder boolean"
 
 
-def _lister(recursive: bool):
-    """Task function: list the folders given as rows. Large folders leave in batches."""
-    schema = pa.schema([("path", pa.string()), ("size_bytes", pa.int64()), ("is_folder", pa.bool_())])
+def _lister(root: str, deep: bool):
+    """Task function: list the folders given as rows, one folder level after the other, so that only one is held.
+
+    What a path is below the root follows from where the listing began, not from a search in the path. Links on a local
+    disk are refused: a dataset must consist of its own files.
+    """
+    schema = pa.schema(
+        [("path", pa.string()), ("relative", pa.string()), ("size_bytes", pa.int64()), ("is_folder", pa.bool_())]
+    )
 
     def entries(folder: str) -> Iterator[dict]:
         from pyarrow import fs
 
         store, inner, prefix = _store(folder)
-        here = store.get_file_info(inner)
-        if here.type == fs.FileType.NotFound:
-            raise FileNotFoundError(folder)
-        found = [here] if here.is_file else store.get_file_info(fs.FileSelector(inner, recursive=recursive))
-        for info in found:
-            if info.is_file and info.path.lower().endswith(".parquet") or not info.is_file and not recursive:
-                yield {"path": prefix + info.path, "size_bytes": info.size, "is_folder": not info.is_file}
+        base = _store(root)[1].rstrip("/")
+        local = isinstance(store, fs.LocalFileSystem)
+        waiting = [inner]
+        while waiting:
+            place = waiting.pop()
+            here = store.get_file_info(place)
+            if here.type == fs.FileType.NotFound:
+                raise FileNotFoundError(folder)
+            for info in [here] if here.is_file else store.get_file_info(fs.FileSelector(place)):
+                if local and info.path != base and os.path.islink(info.path):
+                    raise ValueError(f"{info.path} is a link")
+                if not info.is_file and deep:
+                    waiting.append(info.path)
+                elif not info.is_file or info.path.lower().endswith(".parquet"):
+                    below = info.path[len(base) :].lstrip("/") if len(info.path) > len(base) else info.base_name
+                    yield {
+                        "path": prefix + info.path, "relative": below, "size_bytes": info.size,
+                        "is_folder": not info.is_file,
+                    }
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -76,19 +95,12 @@ def list_parts(spark: SparkSession, root: str, tasks: int | None = None) -> Data
     one folder per table, and many tasks list the folders; no file is opened.
     """
     start = root.rstrip("/")
-    base = root_path(root)
     # Folders change: the mark keeps Spark from answering a new listing from an older, persisted one.
     seed = spark.range(0, 1, 1, 1).select(F.lit(start).alias("path"), F.lit(uuid.uuid4().hex).alias("listing"))
-    top = seed.mapInArrow(_lister(False), LISTED)
+    top = seed.mapInArrow(_lister(start, False), LISTED)
     folders = top.where("is_folder").select("path").repartition(file_tasks(spark, tasks), "path")
-    listed = top.where("not is_folder").unionByName(folders.mapInArrow(_lister(True), LISTED))
-    # A root may also be a single file.
-    relative = F.when(F.col("path").endswith(base), F.substring_index("path", "/", -1)).otherwise(
-        F.substr("path", F.instr("path", base) + F.lit(len(base) + 1))
-    )
-    return listed.select(
-        "path", relative.alias("relative"), F.substring_index("path", "/", -1).alias("name"), "size_bytes"
-    )
+    listed = top.where("not is_folder").unionByName(folders.mapInArrow(_lister(start, True), LISTED))
+    return listed.select("path", "relative", F.substring_index("path", "/", -1).alias("name"), "size_bytes")
 
 
 def table_candidates(relative: Column, names: list[str]) -> Column:

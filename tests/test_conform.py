@@ -101,3 +101,21 @@ def test_published_partitions(spark):
     source = spark.createDataFrame([], "a int, b string")
     found = conform.published_schema_violations(spark, "parted.t", source).collect()
     assert [r["check"] for r in found] == ["partitioned"]
+
+
+def test_outcomes_lose_no_table_and_no_file(spark):
+    from benchloom.operators import outcome
+
+    parts = spark.createDataFrame([("a", "u1"), ("c", "u3")], "`table` string, uri string")
+    known = spark.createDataFrame([("a", "u1")], "`table` string, uri string")
+    rows = [("a", None, True, True), ("b", "forbidden", True, False)]
+    outcomes = spark.createDataFrame(rows, "`table` string, error_class string, state_seen boolean, verified boolean")
+    found = {r["table"]: tuple(r)[1:] for r in outcome.classify_tables(parts, known, outcomes).collect()}
+    assert found == {"a": ("succeeded", 1, 1), "b": ("failed", 0, 0)}
+    states = {r["uri"]: r["state"] for r in outcome.classify_parts(parts, known, outcomes).collect()}
+    assert states == {"u1": "registered", "u3": "commit_unknown"}
+
+
+def test_foreign_keys_are_not_skipped(spark):
+    with pytest.raises(ValueError, match="orders"):
+        conform.fk_orphans({"lineitem": spark.range(1)}, (("lineitem", "id", "orders", "id"),))

@@ -169,3 +169,12 @@ def test_queries_on_generated_tables(generated, name):
     assert same([tuple(r) for r in found.collect()], wanted) is None
     if name not in ("q2", "q17", "q19", "q20"):  # very selective at this scale
         assert wanted
+
+
+def test_tpcds_rows_follow_the_listed_scales():
+    rows = {sf: tpcds_data.row_counts(Decimal(sf)) for sf in ("0.01", "1", "10", "100", "500", "1000")}
+    assert sum(rows["0.01"].values()) == 278_238  # a thousandth more than the published 277,976, see README
+    assert rows["1"]["customer_demographics"] == 1_920_800 and rows["0.01"]["customer_demographics"] == 19_208
+    assert (rows["10"]["customer"], rows["100"]["customer"], rows["1000"]["customer"]) == (500_000, 2_000_000, 12_000_000)
+    assert (rows["10"]["inventory"], rows["100"]["inventory"], rows["1000"]["inventory"]) == (133_110_000, 399_330_000, 783_000_000)
+    assert rows["100"]["item"] < rows["500"]["item"] < rows["1000"]["item"]

@@ -2,9 +2,10 @@
 
 import pyarrow.parquet as pq
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from benchloom.operators import verify
+from benchloom.operators import outcome, verify
 from benchloom.plans import workflow
 from benchloom.sinks import publish
 from benchloom.sources import files
@@ -19,7 +20,7 @@ def statuses(result):
 @pytest.fixture(scope="module")
 def loaded(spark, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("load"))
-    result = workflow.require_loaded(workflow.load(spark, "tpch", SF, ("bench", "one"), folder, run_id="run1"))
+    result = workflow.require_loaded(workflow.load(spark, "tpch", SF, ("bench", "one"), folder, run_id="run1", allow_local=True))
     workflow.write_report(result, "tpch", SF, f"{folder}/report")
     return result, folder
 
@@ -40,7 +41,8 @@ def test_load_publishes_everything(spark, loaded):
 def test_verification_passes(spark, loaded):
     _, folder = loaded
     found = workflow.verify_load(
-        spark, f"{folder}/report", f"{folder}/run1", full_read=True, checksum=True, sample=True, require_complete=True
+        spark, f"{folder}/report", f"{folder}/run1", full_read=True, checksum=True, sample=True, require_complete=True,
+        allow_local=True,
     )
     assert found.isEmpty()
 
@@ -73,12 +75,12 @@ def test_nested_report(spark, tmp_path):
 
 def test_existing_tables_stop_a_load(spark, loaded, tmp_path):
     with pytest.raises(publish.TablesExist):
-        workflow.load(spark, "tpch", SF, "bench_one", str(tmp_path))
+        workflow.load(spark, "tpch", SF, "bench_one", str(tmp_path), allow_local=True)
     assert list(tmp_path.iterdir()) == []  # nothing was generated
 
 
 def test_skip_all(spark, loaded, tmp_path):
-    result = workflow.load(spark, "tpch", SF, "bench_one", str(tmp_path), on_exists="skip")
+    result = workflow.load(spark, "tpch", SF, "bench_one", str(tmp_path), on_exists="skip", allow_local=True)
     assert set(statuses(result).values()) == {"skipped"} and result.root is None
     assert list(tmp_path.iterdir()) == []
 
@@ -87,7 +89,7 @@ def test_skip_some(spark, tmp_path):
     spark.sql("create database if not exists some_there")
     spark.sql("create table some_there.region (x int) using parquet")
     result = workflow.require_loaded(
-        workflow.load(spark, "tpch", SF, "some_there", str(tmp_path), on_exists="skip", checksum=False)
+        workflow.load(spark, "tpch", SF, "some_there", str(tmp_path), on_exists="skip", checksum=False, allow_local=True)
     )
     found = statuses(result)
     assert found.pop("region") == "skipped" and set(found.values()) == {"succeeded"}
@@ -106,7 +108,7 @@ def test_one_failing_table_leaves_the_others(spark, tmp_path, monkeypatch):
         return real(spark_, namespace, table, *rest)
 
     monkeypatch.setattr(publish, "create_table", failing)
-    result = workflow.load(spark, "tpch", SF, "one_fails", str(tmp_path))
+    result = workflow.load(spark, "tpch", SF, "one_fails", str(tmp_path), allow_local=True)
     found = statuses(result)
     assert found.pop("orders") == "failed" and set(found.values()) == {"succeeded"}
     with pytest.raises(workflow.LoadFailed, match="no permission"):
@@ -117,12 +119,12 @@ def test_lost_answer(spark, tmp_path, monkeypatch):
     """The commit arrived but its answer did not: the files are found again, nothing is appended twice."""
     real = publish.register
 
-    def lossy(spark_, namespace, rows):
-        real(spark_, namespace, rows)
+    def lossy(*given):
+        real(*given)
         raise TimeoutError("answer lost")
 
     monkeypatch.setattr(publish, "register", lossy)
-    result = workflow.load(spark, "tpch", SF, "lost_answer", str(tmp_path))
+    result = workflow.load(spark, "tpch", SF, "lost_answer", str(tmp_path), allow_local=True)
     assert set(statuses(result).values()) == {"succeeded"}
     manifest = publish.read_manifest(spark, "lost_answer")
     assert manifest.count() == manifest.select("uri").distinct().count()
@@ -133,11 +135,115 @@ def test_lost_commit(spark, tmp_path, monkeypatch):
         raise TimeoutError("no answer")
 
     monkeypatch.setattr(publish, "register", silent)
-    result = workflow.load(spark, "tpch", SF, "lost_commit", str(tmp_path))
+    result = workflow.load(spark, "tpch", SF, "lost_commit", str(tmp_path), allow_local=True)
     assert set(statuses(result).values()) == {"uncertain"}
     assert {r["state"] for r in result.files.collect()} == {"commit_unknown"}
 
 
+def test_refused_commit(spark, tmp_path, monkeypatch):
+    def refused(*_):
+        spark.sql("create table refused.region (x int) using parquet")  # exists by then
+
+    monkeypatch.setattr(publish, "register", refused)
+    result = workflow.load(spark, "tpch", SF, "refused", str(tmp_path), allow_local=True)
+    assert set(statuses(result).values()) == {"failed"}
+    assert {r["state"] for r in result.files.collect()} == {"uploaded_unregistered"}
+
+
+def test_unreadable_state(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(workflow, "read_back", lambda *_: (None, None))
+    result = workflow.load(spark, "tpch", SF, "unreadable", str(tmp_path), allow_local=True)
+    assert set(statuses(result).values()) == {"uncertain"}
+    assert {r["state"] for r in result.files.collect()} == {"commit_unknown"}
+
+
+def test_one_failing_registration(spark, tmp_path, monkeypatch):
+    real = publish.register
+
+    def failing(spark_, namespace, table, *rest):
+        if table == "orders":
+            raise PermissionError("password=hunter2 refused")
+        real(spark_, namespace, table, *rest)
+
+    monkeypatch.setattr(publish, "register", failing)
+    result = workflow.load(spark, "tpch", SF, "one_refused", str(tmp_path), allow_local=True)
+    found = statuses(result)
+    assert found.pop("orders") == "failed" and set(found.values()) == {"succeeded"}
+    assert "hunter2" not in result.errors["orders"]
+
+
+def test_interrupted_load_leaves_a_record(spark, tmp_path, monkeypatch):
+    def killed(*_):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(workflow, "read_back", killed)
+    with pytest.raises(KeyboardInterrupt):
+        workflow.load(spark, "tpch", SF, "killed", str(tmp_path), run_id="k", allow_local=True)
+    left = workflow.read_record(spark, f"{tmp_path}/k")
+    assert {r["status"] for r in left.collect()} == {"uncertain"}
+    assert outcome.needs_inspection(left).count() == 8
+
+
+def test_registering_twice_is_an_error(spark, loaded):
+    rows = publish.read_manifest(spark, "bench_one").where("`table` = 'part'")
+    with pytest.raises(AnalysisException) as error:
+        publish.register(spark, "bench_one", "part", "run1", rows)
+    assert outcome.error_class(error.value) == "commit_conflict"
+    publish.register(spark, "bench_one", "other", "run2", rows)  # another run beside it
+    assert publish.read_manifest(spark, "bench_one").where("run_id = 'run2'").count() == rows.where("run_id = 'run1'").count()
+
+
+def test_leftover_registrations_stop_a_table(spark, tmp_path):
+    spark.sql("create database if not exists leftover")
+    publish.ensure_manifest(spark, "leftover")
+    rows = spark.createDataFrame([(1, "s3://b/k", 1, 1, None, "data", "nation", "old")], publish.MANIFEST_SCHEMA)
+    publish.register(spark, "leftover", "nation", "old", rows)
+    found = statuses(workflow.load(spark, "tpch", SF, "leftover", str(tmp_path), allow_local=True))
+    assert found.pop("nation") == "failed" and set(found.values()) == {"succeeded"}
+
+
+def test_locations_must_be_durable(spark, tmp_path):
+    with pytest.raises(ValueError, match="local"):
+        workflow.load(spark, "tpch", SF, "nowhere_at_all", str(tmp_path))
+    with pytest.raises(ValueError, match="unstable"):
+        workflow.load(spark, "tpch", SF, "nowhere_at_all", "s3://bucket/a?x=1", allow_local=True)
+
+
+def test_report_of_two_runs_is_refused(spark, loaded, tmp_path):
+    result, folder = loaded
+    workflow.write_report(result, "tpch", SF, f"{tmp_path}/a")
+    result.namespace, kept = "elsewhere", result.namespace
+    try:
+        workflow.write_report(result, "tpch", SF, f"{tmp_path}/b")
+    finally:
+        result.namespace = kept
+    with pytest.raises(ValueError, match="one run"):
+        workflow.verify_load(spark, f"{tmp_path}/*", f"{folder}/run1", allow_local=True)
+
+
+def test_checksums_by_what_is_recorded(spark, loaded, tmp_path):
+    import hashlib
+    import json
+
+    _, folder = loaded
+    lines = [line.value for line in spark.read.text(f"{folder}/report").collect()]
+    reports = [json.loads(line) for line in lines]
+    for report in reports:
+        for table, facts in report["tables"].items():
+            for file in facts["files"]:
+                md5 = file.pop("md5")
+                if table == "part":
+                    with open(file["remote_uri"].removeprefix("file:"), "rb") as data:
+                        file["sha256"] = hashlib.sha256(data.read()).hexdigest()
+                elif table == "nation":
+                    file["sha256"] = "0" * 64
+                elif table != "region":
+                    file["md5"] = md5
+    (tmp_path / "report.json").write_text("\n".join(map(json.dumps, reports)))
+    found = workflow.verify_load(spark, f"{tmp_path}/report.json", f"{folder}/run1", checksum=True, allow_local=True)
+    assert {(r["check"], r["table"]) for r in found.collect()} == {("no_checksum", "region"), ("checksum", "nation")}
+
+
 def test_gate_blocks_a_bad_dataset(spark, tmp_path):
     workflow.generate(spark, "tpch", SF, str(tmp_path / "d"))
     file = next((tmp_path / "d" / "region").glob("part-*.parquet"))
@@ -149,28 +255,28 @@ def test_gate_blocks_a_bad_dataset(spark, tmp_path):
 
 
 def test_tampering_is_found(spark, tmp_path):
-    result = workflow.load(spark, "tpch", SF, "tampered", str(tmp_path), run_id="r")
+    result = workflow.load(spark, "tpch", SF, "tampered", str(tmp_path), run_id="r", allow_local=True)
     workflow.write_report(result, "tpch", SF, str(tmp_path / "report"))
     file = next((tmp_path / "r" / "nation").glob("part-*.parquet"))
     pq.write_table(pq.read_table(file).slice(0, 20), file)
     next((tmp_path / "r" / "customer").glob("part-*.parquet")).unlink()
     spark.sql("drop table tampered.part")
-    found = workflow.verify_load(spark, str(tmp_path / "report"), str(tmp_path / "r")).collect()
+    found = workflow.verify_load(spark, str(tmp_path / "report"), str(tmp_path / "r"), allow_local=True).collect()
     assert {(r["check"], r["table"]) for r in found} >= {("stored", "nation"), ("stored", "customer")}
 
 
 def test_replaced_table_is_found(spark, tmp_path):
-    result = workflow.load(spark, "tpch", SF, "replaced", str(tmp_path), run_id="r")
+    result = workflow.load(spark, "tpch", SF, "replaced", str(tmp_path), run_id="r", allow_local=True)
     workflow.write_report(result, "tpch", SF, str(tmp_path / "report"))
     schema = spark.table("replaced.part").schema
     spark.sql("drop table replaced.part")
     publish.create_table(spark, "replaced", "part", schema, f"{tmp_path}/r/part", {})
-    found = workflow.verify_load(spark, str(tmp_path / "report"), str(tmp_path / "r")).collect()
+    found = workflow.verify_load(spark, str(tmp_path / "report"), str(tmp_path / "r"), allow_local=True).collect()
     assert [(r["check"], r["table"]) for r in found] == [("identity", "part")]
 
 
 def test_tpcds_load_and_query_files(spark, tmp_path):
-    result = workflow.require_loaded(workflow.load(spark, "tpcds", SF, "ds", str(tmp_path / "data")))
+    result = workflow.require_loaded(workflow.load(spark, "tpcds", SF, "ds", str(tmp_path / "data"), allow_local=True))
     assert len(statuses(result)) == 24
     (tmp_path / "sql").mkdir()
     (tmp_path / "sql" / "q1.sql").write_text(
