@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import mmap
 import os
+import re
 import tempfile
 import uuid
 from functools import lru_cache
@@ -23,7 +24,7 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
+        if not re.match(r"local(\[|$)", context.master):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="benchloom-shared-")
     if not context.getCheckpointDir():
