@@ -153,14 +153,18 @@ ERROR = (
 
 def attempts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(parts, known, outcomes): one attempt per order; files shipped before 1999 were seen in the catalog."""
-    lines = table(spark, folder, "lineitem")
-    uri = F.concat(F.lit("s3://lake/"), "l_orderkey", F.lit("/"), "l_linenumber")
-    parts = lines.select(F.concat(F.lit("order_"), "l_orderkey").alias("table"), uri.alias("uri"), "l_shipdate")
-    known = parts.where("l_shipdate < '1999-01-01'").drop("l_shipdate")
-    parts = parts.select("table", "uri").distinct()
-    unverified = (
-        parts.join(known.distinct(), ["table", "uri"], "left_anti").select("table").distinct().withColumn("open", F.lit(True))
+    # One pass over the lines gives every file once with whether it was seen; all three follow from that.
+    marked = (
+        table(spark, folder, "lineitem")
+        .groupBy(
+            F.concat(F.lit("order_"), "l_orderkey").alias("table"),
+            F.concat(F.lit("s3://lake/"), "l_orderkey", F.lit("/"), "l_linenumber").alias("uri"),
+        )
+        .agg(F.bool_or(F.col("l_shipdate") < F.lit("1999-01-01").cast("timestamp_ntz")).alias("seen"))
     )
+    parts = marked.select("table", "uri")
+    known = marked.where("seen").select("table", "uri")
+    unverified = marked.where("not seen").groupBy("table").agg(F.lit(True).alias("open"))
     outcomes = (
         table(spark, folder, "orders")
         .selectExpr(

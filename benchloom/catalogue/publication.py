@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from benchloom.catalogue import derived
@@ -272,12 +272,12 @@ def _(spark, folder):
 def reports(spark, folder) -> DataFrame:
     """Run reports as JSON text, a table's files cut into lines of bounded length, read back with the schema."""
     found = derived.run_files(spark, folder)
-    counted = found.groupBy("run_id", "table").agg(F.count("*").alias("n"))
-    line = F.pmod(F.xxhash64("uri", "row_count", "size_bytes"), F.greatest(F.lit(1), F.ceil(F.col("n") / 1000)))
+    n = F.count("*").over(Window.partitionBy("run_id", "table"))
+    line = F.pmod(F.xxhash64("uri", "row_count", "size_bytes"), F.greatest(F.lit(1), F.ceil(n / 1000)))
     file = F.struct("row_count", "size_bytes", F.col("uri").alias("remote_uri"), "state")
     lines = (
-        found.join(counted, ["run_id", "table"])
-        .groupBy("run_id", "table", "status", line.alias("line"))
+        found.withColumn("line", line)
+        .groupBy("run_id", "table", "status", "line")
         .agg(F.collect_list(file).alias("files"))
     )
     document = F.to_json(

@@ -151,11 +151,15 @@ def redact_value(value: Column, dtype: T.DataType, secrets: list[str] | tuple[st
     if isinstance(dtype, T.MapType):
         inner = dtype.valueType
 
+        # Values keep their type, so that nesting stays. A value under a secret key becomes the mask where it is text;
+        # another type can't hold the mask, and its value goes.
+        hidden = F.lit(MASK) if isinstance(inner, T.StringType) else F.lit(None).cast(inner)
+        plain = not isinstance(inner, (T.StringType, T.StructType, T.ArrayType, T.MapType))
+
         def masked(key: Column, item: Column) -> Column:
-            kept = redact_value(item, inner, secrets)
-            if isinstance(inner, (T.StructType, T.ArrayType, T.MapType)):
-                kept = F.to_json(kept)
-            return F.when(key.cast("string").rlike(SECRET_KEY), F.lit(MASK)).otherwise(kept.cast("string"))
+            if plain:  # numbers and dates are shown as text, as the mask is one
+                return F.when(key.cast("string").rlike(SECRET_KEY), F.lit(MASK)).otherwise(item.cast("string"))
+            return F.when(key.cast("string").rlike(SECRET_KEY), hidden).otherwise(redact_value(item, inner, secrets))
 
         return F.transform_values(value, masked)
     return value

@@ -130,3 +130,17 @@ def test_find_secrets(spark):
     df = spark.createDataFrame([(1, "token = a, TOKEN: b Bearer q"), (2, "none")], "id int, t string")
     found = {(r["id"], r["word"]): r["hits"] for r in text.find_secrets(df, "id", "t").collect()}
     assert found == {(1, "token"): 2, (1, "bearer"): 1}
+
+
+def test_nested_map_values_keep_their_type(spark):
+    df = spark.sql(
+        "select map('plain', named_struct('password', 'x', 'n', 1), 'my_token', named_struct('password', 'y', 'n', 2)) as a, "
+        "map('k', map('secret', 'v', 'note', 'token=abc')) as b, map('api_key', array('x'), 'list', array('secret=1')) as c"
+    )
+    for column in df.columns:
+        df, kind = text.redact_document(df, column), df.schema[column].dataType
+        assert df.schema[column].dataType.simpleString() == kind.simpleString()
+    row = df.first()
+    assert row.a["plain"].password == "[REDACTED]" and row.a["plain"].n == 1 and row.a["my_token"] is None
+    assert row.b["k"]["secret"] == "[REDACTED]" and "abc" not in row.b["k"]["note"]
+    assert row.c["api_key"] is None and row.c["list"] == ["secret=[REDACTED]"]
