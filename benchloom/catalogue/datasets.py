@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from decimal import Decimal
 from functools import reduce
 
@@ -11,9 +12,11 @@ from pyspark.sql import functions as F
 from benchloom.catalogue.base import ORACLE_DIR, register, table
 from benchloom.operators import conform, inventory
 from benchloom.plans.completion import complete_table, derive_partsupp
-from benchloom.schemas import benchmark
+from benchloom.schemas import benchmark, expected_columns
 from benchloom.session import ensure_checkpoint_dir
+from benchloom.sinks import publish
 from benchloom.sources import files
+from benchloom.sources.drawing import count_sources
 
 GIVEN = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
@@ -454,9 +457,9 @@ def _(spark, folder):
 @register(
     "published_schema",
     "subject:s expected:s actual:s",
-    f"""SELECT coalesce(s.col, p.col) AS subject,
-               CASE WHEN s.col IS NULL THEN '' ELSE s.col || ' ' || s.dtype || ' true' END AS expected,
-               p.col || ' ' || p.dtype || ' true' AS actual
+    f"""SELECT coalesce(p.col, s.col) AS subject,
+               CASE WHEN p.col IS NULL THEN '' ELSE p.col || ' ' || p.dtype || ' true' END AS expected,
+               CASE WHEN s.col IS NULL THEN '' ELSE s.col || ' ' || s.dtype || ' true' END AS actual
         FROM (SELECT pos, col, dtype FROM ({COLUMNS_SQL}) AS c WHERE file = 'lineitem.parquet') AS s
         FULL JOIN (SELECT pos, col, CASE WHEN col = 'l_linenumber' THEN 'int' ELSE
                           CASE kind WHEN 'I' THEN 'bigint' WHEN 'S' THEN 'string' WHEN 'D' THEN 'date'
@@ -465,10 +468,43 @@ def _(spark, folder):
         WHERE s.col IS DISTINCT FROM p.col OR s.dtype IS DISTINCT FROM p.dtype""",
 )
 def _(spark, folder):
-    # The completed lineitem stands for the published table.
-    source = table(spark, folder, "lineitem")
-    complete_table("lineitem", source).createOrReplaceTempView("published_lineitem")
-    return conform.published_schema_violations(spark, "published_lineitem", source)
+    # A catalog table over the given lineitem, against the complete one.
+    given, name = table(spark, folder, "lineitem"), f"given_lineitem_{uuid.uuid4().hex}"
+    publish.create_table(spark, "default", name, given.schema, f"{folder}/lineitem.parquet", {})
+    return conform.published_schema_violations(spark, f"default.{name}", complete_table("lineitem", given))
+
+
+@register(
+    "expected_columns",
+    "table:s name:s kind:s given_type:s fits:b",
+    f"""SELECT tbl AS "table", d.col AS name, kind, coalesce(dtype, '-') AS given_type,
+               coalesce({KIND_FITS_SQL}, false) AS fits
+        FROM {DEFINED_SQL} LEFT JOIN ({COLUMNS_SQL}) AS c ON d.tbl || '.parquet' = file AND d.col = c.col""",
+)
+def _(spark, folder):
+    # Every defined column with the type that the given file of its table has for it.
+    footers = with_footers(spark, folder).where("table is not null")
+    given = footers.select("table", F.explode("columns").alias("c")).select(
+        "table", F.col("c.name").alias("name"), F.col("c.type").alias("given_type")
+    )
+    joined = expected_columns(spark, "tpch").join(given, ["table", "name"], "left")
+    fits = F.coalesce(conform.kind_matches(F.col("given_type"), F.col("kind")), F.lit(False))
+    return joined.select("table", "name", "kind", F.coalesce("given_type", F.lit("-")).alias("given_type"), fits.alias("fits"))
+
+
+@register(
+    "source_set",
+    "table:s expected:s actual:s",
+    "SELECT coalesce(t, g) AS \"table\", CASE WHEN g IS NULL THEN 'present' ELSE 'absent' END AS expected, "
+    "CASE WHEN g IS NULL THEN 'absent' ELSE 'present' END AS actual FROM (VALUES {}) AS d(t) FULL JOIN (VALUES {}) AS v(g) "
+    "ON t = g WHERE t IS NULL OR g IS NULL".format(
+        ", ".join(f"('{t}')" for t in benchmark("tpcds")), ", ".join(f"('{t}')" for t in GIVEN)
+    ),
+)
+def _(spark, folder):
+    # The given tables, counted, against those of TPC-DS.
+    counted = count_sources({name: table(spark, folder, name) for name in GIVEN})
+    return conform.source_set_violations(counted, "tpcds").select("table", "expected", "actual")
 
 
 ORPHAN_KEYS = conform.TPCH_FOREIGN_KEYS + (
