@@ -115,8 +115,8 @@ def inspect(spark: SparkSession, bench: str, sf, root: str, sources: DataFrame |
     The result is what the run validates and publishes, so it is fixed by a checkpoint: a lost executor
     must not make a later step see files as they are then.
     """
-    listed = files.assign_table(files.list_parts(spark, root), bench)
     ensure_checkpoint_dir(spark)
+    listed = files.assign_table(files.list_parts(spark, root), bench).checkpoint()
     footers = files.with_footers(listed).checkpoint()
     return Dataset(bench, Decimal(str(sf)), root, footers, sources)
 

@@ -6,6 +6,7 @@ import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: int | str = 8, name: str = "benchloom", memory: str = "12g") -> SparkSession:
@@ -48,6 +49,21 @@ def file_tasks(spark: SparkSession, requested: int | None = None) -> int:
     return requested or max(2 * spark.sparkContext.defaultParallelism, 8)
 
 
+FILES_PER_TASK = 64
+BYTES_PER_TASK = 256 << 20
+
+
+def opening_tasks(parts: DataFrame, requested: int | None = None, whole: bool = False) -> int:
+    """Tasks for a job that opens the files ``parts``: so many that each has few files, and, where files are read as a
+    whole, few bytes. It follows from the listing, not from the executors that happen to be there when a plan is built."""
+    if requested:
+        return requested
+    sized = whole and "size_bytes" in parts.columns
+    size = F.sum("size_bytes") if sized else F.lit(0)
+    found = parts.agg(F.count("*").alias("files"), F.coalesce(size, F.lit(0)).alias("size")).first()
+    return max(file_tasks(parts.sparkSession), -(-found.files // FILES_PER_TASK), 2 * -(-found.size // BYTES_PER_TASK))
+
+
 def constant_rows(spark: SparkSession, columns: str, rows: list[tuple]) -> DataFrame:
     """A small fixed table as constants of the plan, ``columns`` being ``name type, …``.
 

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from benchloom.schemas import benchmark
-from benchloom.session import constant_rows, ensure_checkpoint_dir, file_tasks
+from benchloom.session import constant_rows, ensure_checkpoint_dir, file_tasks, opening_tasks
 
 # The small functions that open files travel with the tasks, so workers need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -289,7 +289,7 @@ def with_footers(parts: DataFrame, tasks: int | None = None) -> DataFrame:
             )
 
     given = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in parts.schema)
-    spread = parts.repartition(file_tasks(parts.sparkSession, tasks), "path")
+    spread = parts.repartition(opening_tasks(parts, tasks), "path")
     return spread.mapInArrow(read, f"{given}, {FOOTER}")
 
 
@@ -316,7 +316,7 @@ def row_group_layout(parts: DataFrame, tasks: int | None = None) -> DataFrame:
                 ]
                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    spread = parts.select("path").repartition(file_tasks(parts.sparkSession, tasks), "path")
+    spread = parts.select("path").repartition(opening_tasks(parts, tasks), "path")
     return spread.mapInArrow(read, "path string, idx int, rows bigint, total_bytes bigint")
 
 
@@ -344,7 +344,7 @@ def file_digest(parts: DataFrame, algorithm: str = "md5", tasks: int | None = No
                 rows.append({"path": path, "read_bytes": seen, "digest": chain.hexdigest()})
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    spread = parts.select("path").repartition(file_tasks(parts.sparkSession, tasks), "path")
+    spread = parts.select("path").repartition(opening_tasks(parts, tasks, whole=True), "path")
     return spread.mapInArrow(digest, "path string, read_bytes bigint, digest string")
 
 
@@ -395,7 +395,7 @@ def range_digests(
             (F.col("idx") * range_bytes).alias("offset"),
             F.least(F.lit(range_bytes).cast("bigint"), F.col("size_bytes") - F.col("idx") * range_bytes).alias("length"),
         )
-        .repartition(file_tasks(parts.sparkSession, tasks), "path", "idx")
+        .repartition(opening_tasks(parts, tasks, whole=True), "path", "idx")
     )
     return ranges.mapInArrow(digest, "path string, idx bigint, offset bigint, length bigint, md5 string")
 
