@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at once.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 U64 = np.uint64
 _ODD = U64(0x9E3779B97F4A7C15)
@@ -98,11 +98,13 @@ def hash_pieces(data: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         return np.empty(0, U64)
     places = np.cumsum(sizes)
     heads = places - sizes
-    at = np.arange(places[-1]) - np.repeat(heads, sizes)
+    form = np.int32 if places[-1] < 1 << 31 else np.int64
+    at = np.arange(places[-1], dtype=form) - np.repeat(heads.astype(form), sizes)
     weight = _PLACE[at & 4095]
     if sizes.max() > 4096:
-        weight = weight + (at >> 12).astype(U64) * _STEP[0]
-    sums = np.add.reduceat(_BYTE[data] * weight, heads)
+        weight += (at >> 12).astype(U64) * _STEP[0]
+    weight *= _BYTE[data]
+    sums = np.add.reduceat(weight, heads)
     return mix(sums + sizes.astype(U64) * _STEP[1])
 
 
