@@ -158,6 +158,8 @@ def similar(documents: DataFrame, nodes: DataFrame, clusters: DataFrame, key: st
     above = groups.select("root", (F.col("band") - 1).alias("band"), F.col("blocks").alias("above"))
     below = groups.select("root", (F.col("band") + 1).alias("band"), F.col("blocks").alias("below"))
     groups = groups.join(above, ["root", "band"], "left").join(below, ["root", "band"], "left")
+    # A table of its own, so that the join below reads both sides afresh and Spark can split a large component in it.
+    groups = written(groups, "groups")
     alone = (F.col("sets") == 1) & F.col("above").isNull() & F.col("below").isNull()
     placed = members.join(groups.where(~alone), ["root", "band"]).withColumn(
         "block", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int")
