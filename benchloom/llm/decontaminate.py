@@ -29,7 +29,7 @@ from benchloom.llm.ship import arrow_map, with_struct
 WINDOW = 13
 #: Text of the benchmark in one block, and of the documents in one shard.
 BLOCK_BYTES = 4 << 20
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 
 
 def words(column: pa.Array) -> Words:
