@@ -120,7 +120,8 @@ def forest_links(nodes: DataFrame) -> DataFrame:
             at = np.maximum.accumulate(np.where(new, np.arange(len(node)), -1))
             head = np.where(at >= 0, node[at], 0 if last is None else last[2])
             inner = np.flatnonzero(head != node)
-            yield _links(head[inner], node[inner], np.zeros(len(inner), np.int64), np.zeros(len(inner), np.int64), False)
+            if len(inner):
+                yield _links(head[inner], node[inner], np.zeros(len(inner), np.int64), np.zeros(len(inner), np.int64), False)
             if first:
                 yield _links(head[:1], head[:1], tree[:1], label[:1], True)
                 first = False
@@ -130,7 +131,7 @@ def forest_links(nodes: DataFrame) -> DataFrame:
 
     def _links(a, b, tree, label, edge):
         arrays = [pa.array(x.astype(np.int64)) for x in (a, b, tree, label)]
-        return pa.record_batch([*arrays, pa.array([edge] * len(a))], names=["a", "b", "tree", "label", "edge"])
+        return pa.record_batch([*arrays, pa.array([edge] * len(a), pa.bool_())], names=["a", "b", "tree", "label", "edge"])
 
     found = written(arrow_map(ordered, runs, "a bigint, b bigint, tree bigint, label bigint, edge boolean"), "forest")
     # A run that goes over the end of a partition: the first nodes of its parts, two rows for each partition at most.

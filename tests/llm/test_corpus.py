@@ -98,6 +98,17 @@ def test_jaccard(spark, monkeypatch, block):
     assert by_text((r.doc_id, r.class_id, r.n_links) for r in got) == by_text(wanted)
 
 
+def test_jaccard_in_small_batches(spark):
+    # Some batches hold no link inside a run, others do.
+    rows = [(i, f"word{i} " * 7 + f"end{i % 300}") for i in range(400)] + near_rows()
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        got = jaccard.classes(brute.documents(spark, rows)).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert by_text((r.doc_id, r.class_id, r.n_links) for r in got) == by_text(brute.similar_classes(rows))
+
+
 def test_one_of_each(spark):
     rows = near_rows()
     kept = jaccard.one_of_each(brute.documents(spark, rows))
