@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from benchloom.llm import (
     bpe,
+    collocations,
     compression,
     decontaminate,
     jaccard,
@@ -191,3 +192,36 @@ def op6_secret_links(spark: SparkSession, folder: str) -> DataFrame:
 def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     """Personal data in every document."""
     return spans.digest(personal_data.find(table(spark, folder, "documents")), personal_data.KINDS)
+
+
+@query
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The best phrases of every language."""
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
+ORACLES["op13_collocations"] = """
+WITH pieces AS (SELECT lang, unnest(regexp_split_to_array(low, '[.,;:!?\\x0A-\\x0D]')) AS piece
+                FROM (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                                      'abcdefghijklmnopqrstuvwxyz') AS low FROM documents)),
+     w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+     sizes AS (SELECT unnest([1, 2, 3, 4]) AS size),
+     grams AS (SELECT lang, size, unnest([array_to_string(w[i : i + size - 1], ' ') FOR i IN range(1, len(w) - size + 2)]) AS phrase
+               FROM w, sizes WHERE len(w) >= size),
+     f AS (SELECT lang, size, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 30),
+     words AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+     cuts AS (SELECT lang, size, phrase, f AS a, unnest(range(1, size)) AS k, string_split(phrase, ' ') AS p FROM f WHERE size > 1),
+     scored AS (SELECT c.lang, c.size, c.phrase, c.a, k, x.f AS l, y.f AS r,
+                       CAST((2000000::HUGEINT * c.a) // (x.f + y.f) AS BIGINT) AS score
+                FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(p[1:k], ' ')
+                            JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(p[k + 1:], ' ')),
+     best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+     inner_ AS (SELECT lang, a AS around, array_to_string(p[i : i + m - 1], ' ') AS phrase
+                FROM (SELECT lang, a, size, string_split(phrase, ' ') AS p, m, unnest(range(1, size - m + 2)) AS i
+                      FROM (SELECT *, unnest(range(2, size)) AS m FROM best WHERE size > 2))),
+     longer AS (SELECT lang, phrase, max(around) AS around FROM inner_ GROUP BY ALL),
+     kept AS (SELECT best.* FROM best LEFT JOIN longer USING (lang, phrase)
+              WHERE around IS NULL OR 100::HUGEINT * around < 80::HUGEINT * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN words USING (lang) QUALIFY rank <= 2000
+"""

@@ -199,3 +199,38 @@ def personal(text):
 
 def listed(spans):
     return ",".join(f"{kind}:{start}:{end}" for start, _, kind, end in spans)
+
+
+def collocations(given, longest=4, least=30, within=80, rows=2000):
+    """``lang, rank, phrase, a, l, r, n, score`` of the given (text, lang) pairs."""
+    counts, totals = Counter(), Counter()
+    for text, lang in given:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", lower_az(text)):
+            found = re.findall(r"[^\x20\x09]+", piece)
+            totals[lang] += len(found)
+            for n in range(1, longest + 1):
+                counts.update((lang, tuple(found[i : i + n])) for i in range(len(found) - n + 1))
+    best = {}
+    for (lang, phrase), a in counts.items():
+        if len(phrase) > 1 and a >= least:
+            cuts = []
+            for k in range(1, len(phrase)):
+                left, right = counts[lang, phrase[:k]], counts[lang, phrase[k:]]
+                cuts.append((2_000_000 * a // (left + right), k, left, right))
+            best[lang, phrase] = (a, *min(cuts))
+    kept = []
+    for (lang, phrase), (a, score, _, left, right) in best.items():
+        inside = any(
+            of == lang and len(longer) > len(phrase) and 100 * row[0] >= within * a
+            and any(longer[i : i + len(phrase)] == phrase for i in range(len(longer)))
+            for (of, longer), row in best.items()
+        )
+        if not inside:
+            kept.append((lang, -score, -a, " ".join(phrase).encode(), left, right))
+    result, rank = [], Counter()
+    for lang, score, a, phrase, left, right in sorted(kept):
+        rank[lang] += 1
+        if rank[lang] <= rows:
+            result.append((lang, rank[lang], phrase.decode(), -a, left, right, totals[lang], -score))
+    return sorted(result)
