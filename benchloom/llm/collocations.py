@@ -40,8 +40,9 @@ ROWS = 2000
 #: A candidate goes if a longer one around it has so many hundredths of its occurrences.
 WITHIN = 80
 SCALE = 2_000_000
-#: Entries that a task gathers before it sends them, and bytes of text for each range of fingerprints.
-GATHERED = 3 << 20
+#: Entries that a task gathers before it sends them, phrases that it remembers to have written, and bytes of text for
+#: each range of fingerprints.
+GATHERED, REMEMBERED = 3 << 19, 1 << 17
 RANGE_BYTES = 16 << 20
 #: Bits of one file of a filter, and the most files.
 FILTER_BITS, FILTER_FILES = 1 << 27, 64
@@ -269,18 +270,19 @@ def count_grams(documents: DataFrame, text: str, lang: str, sizes: tuple[int, ..
                 yield from _packed(size, entries[0], bits)
 
     def merge(batches):
-        place, held, n = None, [], 0
+        place, held, n, most = None, [], 0, GATHERED
         for batch in batches:
             for size, at, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if (size, at) != place:
                     if held:
                         yield found(place[0], reduced(held))
-                    place, held, n = (size, at), [], 0
+                    place, held, n, most = (size, at), [], 0, GATHERED
                 held.append(_unpacked(blob))
                 n += len(held[-1][0])
-                if n >= 2 * GATHERED:
+                if n >= most:
                     held = [reduced(held)]
                     n = len(held[0][0])
+                    most = max(GATHERED, 2 * n)
         if held:
             yield found(place[0], reduced(held))
 
@@ -318,7 +320,7 @@ def write_out(documents: DataFrame, text: str, lang: str, longest: int, wanted:
                     if (size, key, address) not in seen:
                         seen.add((size, key, address))
                         rows.append((grams.langs[grams.lang[grams.owner[i]]], size, key, address, grams.phrase(i, size)))
-            if len(seen) > GATHERED:  # what is forgotten may be sent again
+            if len(seen) > REMEMBERED:  # what is forgotten may be sent again
                 seen = set()
             if rows:
                 yield batch_of(rows)
