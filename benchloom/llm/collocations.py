@@ -43,7 +43,7 @@ SCALE = 2_000_000
 #: Entries that a task gathers before it sends them, phrases that it remembers to have written, and bytes of text for
 #: each range of fingerprints.
 GATHERED, REMEMBERED = 3 << 19, 1 << 17
-RANGE_BYTES = 16 << 20
+RANGE_BYTES = 8 << 20
 #: Bits of one file of a filter, and the most files.
 FILTER_BITS, FILTER_FILES = 1 << 27, 64
 #: Bits of a fingerprint that are used; fewer only in tests of collisions.
@@ -163,7 +163,7 @@ def _packed(n: int, entries: list[np.ndarray], bits: int):
         )
 
 
-def _unpacked(blob: bytes) -> list[np.ndarray]:
+def _unpacked(blob: pa.Buffer) -> list[np.ndarray]:
     size, more = (int(x) for x in np.frombuffer(blob, "<i8", 2))
     parts, at = [], 16
     for form, n in ((U64, size), (U64, size), (np.uint32, size), (np.uint32, more), (np.int64, more)):
@@ -272,12 +272,12 @@ def count_grams(documents: DataFrame, text: str, lang: str, sizes: tuple[int, ..
     def merge(batches):
         place, held, n, most = None, [], 0, GATHERED
         for batch in batches:
-            for size, at, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for size, at, blob in zip(*(c.to_pylist() for c in batch.columns[:2]), batch.column(2), strict=True):
                 if (size, at) != place:
                     if held:
                         yield found(place[0], reduced(held))
                     place, held, n, most = (size, at), [], 0, GATHERED
-                held.append(_unpacked(blob))
+                held.append(_unpacked(blob.as_buffer()))
                 n += len(held[-1][0])
                 if n >= most:
                     held = [reduced(held)]
@@ -292,7 +292,7 @@ def count_grams(documents: DataFrame, text: str, lang: str, sizes: tuple[int, ..
         return pa.record_batch([pa.array(x, pa.int64()) for x in arrays], names=["n", "print", "address", "check", "f"])
 
     sent = arrow_map(documents.select(text, lang), gather, "n int, place bigint, grams binary")
-    dealt = sent.repartition("n", "place").sortWithinPartitions("n", "place")
+    dealt = sent.repartition(len(sizes) << bits, "n", "place").sortWithinPartitions("n", "place")
     return written(arrow_map(dealt, merge, "n bigint, print bigint, address bigint, check bigint, f bigint"), "grams")
 
 
