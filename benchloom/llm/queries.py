@@ -21,6 +21,7 @@ from benchloom.llm import (
     spans,
     substrings,
     token_files,
+    whitening,
 )
 from benchloom.llm.shared import new_folder
 
@@ -225,3 +226,10 @@ WITH pieces AS (SELECT lang, unnest(regexp_split_to_array(low, '[.,;:!?\\x0A-\\x
 SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
 FROM kept JOIN words USING (lang) QUALIFY rank <= 2000
 """
+
+
+@query
+def op11_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Whitened components of every embedding."""
+    embeddings = table(spark, folder, "embeddings")
+    return whitening.whiten(embeddings, whitening.fit(embeddings))
