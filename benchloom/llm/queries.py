@@ -21,6 +21,7 @@ from benchloom.llm import (
     spans,
     substrings,
     token_files,
+    url_filter,
     whitening,
 )
 from benchloom.llm.shared import new_folder
@@ -233,3 +234,13 @@ def op11_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
     """Whitened components of every embedding."""
     embeddings = table(spark, folder, "embeddings")
     return whitening.whiten(embeddings, whitening.fit(embeddings))
+
+
+#: Fixed values of the query's contract.
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+@query
+def op12_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Rule and verdict of every page."""
+    return url_filter.judge(table(spark, folder, "pages"), URL_RULES)

@@ -234,3 +234,93 @@ def collocations(given, longest=4, least=30, within=80, rows=2000):
         if rank[lang] <= rows:
             result.append((lang, rank[lang], phrase.decode(), -a, left, right, totals[lang], -score))
     return sorted(result)
+
+
+def url_parts(url):
+    """(host, path) of a url."""
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    host = re.match(r"[^/?#]*", rest)[0]
+    return lower_az(host), re.match(r"[^?#]*", rest[len(host) :])[0]
+
+
+def url_rule(host, path, rules):
+    """(rule, verdict) of the longest rule that fits."""
+    fits = []
+    for verdict, rule in rules:
+        name, rest = rule.split("/", 1)
+        if (host == name or host.endswith("." + name)) and path.startswith("/" + rest):
+            fits.append((len(rule), rule, verdict))
+    return max(fits)[1:] if fits else (None, None)
+
+
+def url_segments(path, depth=6):
+    every = path.split("/")[1:]
+    masked = []
+    for s in every[:depth]:
+        if re.fullmatch("[0-9]+", s):
+            masked.append("#")
+        elif re.fullmatch("[0-9A-Fa-f-]{8,}", s) and re.search("[0-9]", s):
+            masked.append("<hex>")
+        else:
+            masked.append(re.sub("[0-9]+", "#", s))
+    return tuple(masked + ["<deep>"] * (len(every) > depth))
+
+
+def url_templates(labelled, wide=16, rare=2, tolerance=0.02):
+    """{(host, segments): template} of (host, segments, label) rows."""
+
+    def kind(s):
+        return 0 if s is None else 1 if s == "" else 2 if s == "#" else 4 if s == "<hex>" else 5 if "." in s else 3 if "#" in s else 6
+
+    def apart(p, q):
+        p, q = [x / sum(p) for x in p], [x / sum(q) for x in q]
+        return sum((a * math.log(2 * a / (a + b)) if a else 0) + (b * math.log(2 * b / (a + b)) if b else 0) for a, b in zip(p, q)) / 2
+
+    paths = {(host, segments): "" for host, segments, _ in labelled}
+    for level in range(max((len(s) for _, s in paths), default=0)):
+        children = defaultdict(lambda: [0, [0] * 7, [0] * 3])
+        for host, segments, label in labelled:
+            if len(segments) > level:
+                child = children[host, paths[host, segments], segments[level]]
+                child[0] += 1
+                child[1][kind(segments[level + 1] if len(segments) > level + 1 else None)] += 1
+                child[2][{"block": 0, "allow": 1, None: 2}[label]] += 1
+        nodes, names, groups = defaultdict(list), {}, defaultdict(list)
+        for place, child in children.items():
+            nodes[place[:2]].append(child[0])
+        for place, (n, after, labels) in children.items():
+            kids = nodes[place[:2]]
+            if len(kids) >= wide and n * len(kids) <= rare * sum(kids):
+                names[place] = "*"
+            else:
+                groups[(*place[:2], after.index(max(after)), labels.index(max(labels)))].append(place)
+        for places in groups.values():
+            pool = [[sum(children[p][i][j] for p in places) for j in range(size)] for i, size in ((1, 7), (2, 3))]
+            near = [
+                p for p in places
+                if all(apart(children[p][i], pool[i - 1]) <= tolerance + (size - 1) / (8 * children[p][0]) for i, size in ((1, 7), (2, 3)))
+            ]
+            if len(near) > 1:
+                names |= {p: "{" + min(x[2] for x in near) + ",…}" for p in near}
+        for (host, segments), template in paths.items():
+            if len(segments) > level:
+                paths[host, segments] = f"{template}/{names.get((host, template, segments[level]), segments[level])}"
+    return paths
+
+
+def url_verdicts(rows, rules):
+    """(key, host, path, rule, verdict) of (key, url) rows."""
+    parsed = [(key, *url_parts(url)) for key, url in rows]
+    ruled = [(key, host, path, *url_rule(host, path, rules)) for key, host, path in parsed]
+    labelled = [(host, url_segments(path), verdict) for _, host, path, _, verdict in ruled]
+    paths, counts = url_templates(labelled), defaultdict(Counter)
+    for host, segments, label in labelled:
+        counts[host, paths[host, segments]][label] += 1
+    result = []
+    for (key, host, path, rule, verdict), (_, segments, _) in zip(ruled, labelled):
+        here = counts[host, paths[host, segments]]
+        bad = (here["block"] + 1) / (here["block"] + here["allow"] + 2) >= 0.8
+        result.append((key, host, path, rule, verdict or ("block" if bad else "allow")))
+    return result
