@@ -15,7 +15,7 @@ from benchloom.plans.completion import complete_table, derive_partsupp
 from benchloom.schemas import benchmark, expected_columns
 from benchloom.session import ensure_checkpoint_dir
 from benchloom.sinks import publish
-from benchloom.sources import files
+from benchloom.sources import files, scan
 from benchloom.sources.drawing import count_sources
 
 GIVEN = (
@@ -68,7 +68,7 @@ def assigned(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def with_footers(spark: SparkSession, folder: str) -> DataFrame:
-    return files.with_footers(assigned(spark, folder))
+    return files.assign_table(scan.footers(spark, folder), "tpch")
 
 
 def scale_of(spark: SparkSession, folder: str) -> Decimal:
@@ -204,7 +204,7 @@ def _(spark, folder):
     f"SELECT file, pos, col AS name, dtype AS type, nullable FROM ({COLUMNS_SQL}) AS c",
 )
 def _(spark, folder):
-    footers = files.read_footers(files.list_parts(spark, folder))
+    footers = scan.footers(spark, folder)
     return files.schema_listing(footers).withColumn("file", base_name())
 
 
@@ -218,7 +218,7 @@ def _(spark, folder):
         (SELECT unnest(['I', 'L', 'S', 'D', 'D15_2']) AS kind) AS k""",
 )
 def _(spark, folder):
-    columns = files.schema_listing(files.read_footers(files.list_parts(spark, folder)))
+    columns = files.schema_listing(scan.footers(spark, folder))
     kinds = F.explode(F.array(*[F.lit(k) for k in ("I", "L", "S", "D", "D15_2")]))
     return (
         columns.withColumn("file", base_name())
@@ -264,7 +264,7 @@ def _(spark, folder):
 )
 def _(spark, folder):
     # All files are taken as parts of one table; the first by path sets the schema.
-    pool = files.with_footers(files.list_parts(spark, folder)).withColumn("table", F.lit("all"))
+    pool = scan.footers(spark, folder).withColumn("table", F.lit("all"))
     return conform.drift_violations(pool).withColumn("first_file", base_name("subject"))
 
 

@@ -21,7 +21,7 @@ from benchloom.catalogue.datasets import (
 from benchloom.functions.sizes import content_md5
 from benchloom.operators import inventory, outcome, verify
 from benchloom.sinks.publish import manifest_rows
-from benchloom.sources import files
+from benchloom.sources import files, scan
 
 # --- manifest and inventory -----------------------------------------------------------------------
 
@@ -38,7 +38,7 @@ from benchloom.sources import files
 )
 def _(spark, folder):
     parts = with_footers(spark, folder).where("table is not null")
-    return manifest_rows(parts, files.file_digest(parts), "run-1", 1).withColumn("name", base_name("uri"))
+    return manifest_rows(parts, scan.composite_digests(spark, folder), "run-1", 1).withColumn("name", base_name("uri"))
 
 
 @register(
@@ -394,7 +394,7 @@ def _(spark, folder):
     f"SELECT regexp_extract(filename, '[^/]+$') AS name, size AS read_bytes, md5(content) AS digest FROM {BLOBS}",
 )
 def _(spark, folder):
-    return files.file_digest(files.list_parts(spark, folder)).withColumn("name", base_name())
+    return scan.digests(spark, folder)
 
 
 @register(
@@ -403,7 +403,7 @@ def _(spark, folder):
     f"SELECT regexp_extract(filename, '[^/]+$') AS name, size AS read_bytes, sha256(content) AS digest FROM {BLOBS}",
 )
 def _(spark, folder):
-    return files.file_digest(files.list_parts(spark, folder), "sha256").withColumn("name", base_name())
+    return scan.digests(spark, folder, "sha256")
 
 
 @register(
@@ -416,8 +416,24 @@ def _(spark, folder):
 )
 def _(spark, folder):
     # Small ranges, and no size threshold, so that the given files have several ranges each.
-    found = files.range_digests(files.list_parts(spark, folder), range_bytes=100_000, from_bytes=0)
-    return found.withColumn("name", base_name())
+    return scan.ranges(spark, folder, range_bytes=100_000, from_bytes=0).withColumnRenamed("digest", "md5")
+
+
+@register(
+    "composite_md5",
+    "name:s read_bytes:i parts:i digest:s",
+    f"""SELECT name, size AS read_bytes, count(*) AS parts,
+               CASE WHEN count(*) = 1 THEN min(md5)
+                    ELSE md5(unhex(string_agg(md5, '' ORDER BY idx))) || '-' || count(*) END AS digest
+        FROM (SELECT name, size, idx,
+                     md5(content[CAST(idx * 100000 + 1 AS BIGINT):CAST(idx * 100000 + 100000 AS BIGINT)]) AS md5
+              FROM (SELECT regexp_extract(filename, '[^/]+$') AS name, size, content,
+                           unnest(range((size - 1) // 100000 + 1)) AS idx FROM {BLOBS}) AS r) AS c
+        GROUP BY name, size""",
+)
+def _(spark, folder):
+    # One digest of each file, put together from its ranges.
+    return scan.composite_digests(spark, folder, range_bytes=100_000, from_bytes=0).withColumn("name", base_name())
 
 
 @register(

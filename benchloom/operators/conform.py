@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from benchloom.schemas import benchmark, expected_layouts, table_schema
 from benchloom.session import constant_rows
@@ -278,15 +279,21 @@ def fk_orphans(tables: dict[str, DataFrame], keys=TPCH_FOREIGN_KEYS) -> DataFram
 
 def published_schema_violations(spark: SparkSession, published: str, source: DataFrame) -> DataFrame:
     """Published table against its source: names, order, types, no tightened nullability, no partition columns."""
-    shape = "pos int, name string, type string, nullable boolean"
+    return published_schemas_violations(spark, {published: source.schema})
 
-    def rows(schema):
-        return [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(schema.fields)]
 
-    # Schemas are a few dozen fields known to the driver; the comparison itself stays a join.
-    left = constant_rows(spark, shape, rows(source.schema)).alias("s")
-    right = constant_rows(spark, shape, rows(spark.table(published).schema)).alias("p")
-    joined = left.join(right, F.col("s.pos") == F.col("p.pos"), "full_outer")
+def published_schemas_violations(spark: SparkSession, sources: dict[str, StructType]) -> DataFrame:
+    """Published tables, by name, against the schemas of their sources, in one join."""
+    shape = "published string, pos int, name string, type string, nullable boolean"
+
+    def rows(schemas):
+        return [(t, i, f.name, f.dataType.simpleString(), f.nullable) for t, s in schemas.items() for i, f in enumerate(s.fields)]
+
+    # Schemas are a few hundred fields known to the driver; the comparison itself stays a join.
+    left = constant_rows(spark, shape, rows(sources)).alias("s")
+    right = constant_rows(spark, shape, rows({name: spark.table(name).schema for name in sources})).alias("p")
+    same_place = (F.col("s.published") == F.col("p.published")) & (F.col("s.pos") == F.col("p.pos"))
+    joined = left.join(right, same_place, "full_outer")
     differs = (
         ~F.col("s.name").eqNullSafe(F.col("p.name"))
         | ~F.col("s.type").eqNullSafe(F.col("p.type"))
@@ -296,20 +303,27 @@ def published_schema_violations(spark: SparkSession, published: str, source: Dat
     out = violation(
         joined.where(differs),
         "published_schema",
-        published,
+        F.coalesce("s.published", "p.published"),
         F.coalesce("s.name", "p.name"),
         shown[0],
         shown[1],
     )
-    parted = [c.name for c in spark.catalog.listColumns(published) if c.isPartition]
+    parted = [(name, column) for name in sources for column in partition_columns(spark, name)]
     if parted:
-        layout = constant_rows(spark, "name string", [(c,) for c in parted])
+        layout = constant_rows(spark, "published string, name string", parted)
         out = out.unionByName(
-            violation(layout, "partitioned", published, F.col("name"), "unpartitioned", "partition column")
+            violation(layout, "partitioned", F.col("published"), F.col("name"), "unpartitioned", "partition column")
         )
     return out
 
 
+def partition_columns(spark: SparkSession, published: str) -> list[str]:
+    """Names of a table's partition columns, which its description lists last, below a heading."""
+    names = [row.col_name for row in spark.sql(f"DESCRIBE TABLE {published}").collect()]
+    heading = "# col_name"
+    return names[names.index(heading) + 1 :] if heading in names else []
+
+
 def dataset_violations(
     parts: DataFrame,
     footers: DataFrame,

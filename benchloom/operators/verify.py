@@ -16,7 +16,7 @@ TABLE = (
     "status:string,reason:string,error:string,table_identifier:array<string>,table_uuid:string,"
     "table_creation_state:string,table_created:boolean,snapshot_id:bigint,duration_seconds:double,"
     "row_count:bigint,size_bytes:bigint,file_count:bigint,"
-    f"schema:array<struct<name:string,type:string,nullable:boolean>>,files:array<struct<{FILE}>>"
+    f"content:string,schema:array<struct<name:string,type:string,nullable:boolean>>,files:array<struct<{FILE}>>"
 )
 REPORT = (
     "report_format_version int, run_id string, command string, benchmark string, scale_factor string, "
@@ -107,18 +107,47 @@ def row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*[F.col(c) for c in df.columns])
 
 
+SUMS = [f"sum_{i}" for i in range(6)]
+
+
+def content_sums(df: DataFrame) -> list[Column]:
+    """Six sums over all rows, whatever their order, that tell contents apart: slices of 21 and 22 bits of two hashes of
+    each row, which start from different seeds. Sums of files or partitions add up to those of the table; slices
+    keep them below 63 bits for 2 * 10^12 rows."""
+    first, second = row_hash(df), F.xxhash64(F.lit("again"), *[F.col(c) for c in df.columns])
+    slices = [(h, shift, bits) for h in (first, second) for shift, bits in ((0, 21), (21, 21), (42, 22))]
+    return [
+        F.sum(F.shiftrightunsigned(h, shift).bitwiseAND(F.lit((1 << bits) - 1))).alias(name)
+        for (h, shift, bits), name in zip(slices, SUMS, strict=True)
+    ]
+
+
+def content_text(*sums) -> Column:
+    """The sums as one text; those of no rows are 0."""
+    return F.concat_ws("-", *(F.lower(F.hex(F.coalesce(F.col(s) if isinstance(s, str) else s, F.lit(0)).cast("bigint"))) for s in sums))
+
+
 def full_decode(spark: SparkSession, *paths: str) -> DataFrame:
-    """Decode every row of every column of a table's files: ``(path, decoded_rows, checksum)``.
+    """Decode every row of every column of a table's files: ``(path, decoded_rows, checksum, sum_0 … sum_5)``.
 
     A plain count would read no column at all. The per-file sums are combined before the shuffle, so a
     file that holds most rows costs no more than its split reads.
     """
     df = spark.read.parquet(*paths)
-    hashed = df.select(F.col("_metadata.file_path").alias("path"), row_hash(df).alias("h"))
-    return hashed.groupBy("path").agg(
-        F.count("*").alias("decoded_rows"),
-        F.sum(F.col("h").cast("decimal(20,0)")).cast("string").alias("checksum"),
-    )
+    sums = content_sums(df)
+    named = df.withColumn("_path", F.col("_metadata.file_path"))
+    found = named.groupBy(F.col("_path").alias("path")).agg(F.count("*").alias("decoded_rows"), *sums)
+    return found.withColumn("checksum", content_text(*SUMS))
+
+
+def content_differences(recorded: DataFrame, decoded: DataFrame) -> DataFrame:
+    """Tables whose rows are not those that were written: ``(table, content, found)``. ``recorded`` has ``table, content``,
+    ``decoded`` the files of :func:`full_decode` with their ``table``."""
+    sums = decoded.groupBy("table").agg(*(F.sum(name).alias(name) for name in SUMS))
+    found = sums.select("table", content_text(*SUMS).alias("found"))
+    both = recorded.where("content is not null").join(found, "table", "left")
+    nothing = content_text(*(F.lit(0) for _ in SUMS))
+    return both.withColumn("found", F.coalesce("found", nothing)).where("content <> found").select("table", "content", "found")
 
 
 def digest_findings(expected: DataFrame, digests: DataFrame) -> DataFrame:

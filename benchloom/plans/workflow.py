@@ -7,9 +7,10 @@ cluster.
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Callable, Iterable
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 from decimal import Decimal
 from functools import reduce
@@ -17,14 +18,14 @@ from functools import reduce
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from benchloom.functions.text import redact_text, uri_problem
 from benchloom.operators import conform, inventory, outcome, verify
-from benchloom.schemas import benchmark, empty_table
+from benchloom.schemas import benchmark, table_schema
 from benchloom.session import constant_rows, ensure_checkpoint_dir
 from benchloom.sinks import publish
-from benchloom.sources import files
-from benchloom.sources.drawing import count_sources
+from benchloom.sources import files, scan
 from benchloom.sources.tpcds_data import Tpcds
 from benchloom.sources.tpch_data import Tpch
 
@@ -79,34 +80,59 @@ def generator(spark: SparkSession, bench: str, sf, parts: int | None = None) ->
 
 
 def for_each_table(
-    spark: SparkSession, names: list[str], work: Callable[[str], None], workers: int = WORKERS
+    spark: SparkSession, names: list[str], work: Callable[[str], None], workers: int = WORKERS, seconds: float | None = None
 ) -> dict[str, Exception]:
-    """Run one job per table side by side. A failing table does not stop the others; its error is returned."""
+    """Run one job per table side by side. A failing table does not stop the others; its error is returned.
+
+    Each table's jobs have a pool of their own, so with the FAIR scheduler none waits for all stages of another, and a
+    tag, by which a table that takes longer than ``seconds`` is interrupted without touching the others.
+    """
     failed: dict[str, Exception] = {}
+    batch = uuid.uuid4().hex
 
     def guarded(name: str) -> None:
+        tag, context = f"{batch}-{name}", spark.sparkContext
+        timer = threading.Timer(seconds, lambda: context.cancelJobsWithTag(tag)) if seconds else None
+        context.setLocalProperty("spark.scheduler.pool", f"benchloom-{name}")
+        context.addJobTag(tag)
         try:
+            if timer:
+                timer.start()
             work(name)
         except Exception as exc:
             failed[name] = exc
+        finally:
+            if timer:
+                timer.cancel()
+            context.removeJobTag(tag)
+            context.setLocalProperty("spark.scheduler.pool", None)
 
     with ThreadPoolExecutor(max_workers=max(1, min(workers, len(names) or 1))) as pool:
-        list(pool.map(inheritable_thread_target(spark)(guarded), names))
+        # A target of its own for each table: it holds a copy of the caller's local properties.
+        started = [pool.submit(inheritable_thread_target(spark)(guarded), name) for name in names]
+        wait(started)
     return failed
 
 
 def write_dataset(
     spark: SparkSession, bench: str, sf, root: str, parts: int | None = None, workers: int = WORKERS
-) -> DataFrame | None:
-    """Generate all tables into one folder each and return their rows, counted at the source (tpcds)."""
+) -> DataFrame:
+    """Generate all tables into one folder each and return ``(table, rows, content)`` as seen while they were written."""
     tables = generator(spark, bench, sf, parts)
+    seen: dict[str, dict[str, int]] = {}
+
+    def write(name: str) -> None:
+        seen[name] = publish.write_table(tables[name], f"{root}/{name}", bench, name)
+
     # Longest first, so that the big tables do not start when the others are done.
     order = sorted(tables, key=lambda name: name not in ("lineitem", "orders") and not name.endswith("_sales"))
-    failed = for_each_table(spark, order, lambda name: publish.write_table(tables[name], f"{root}/{name}", bench, name), workers)
+    failed = for_each_table(spark, order, write, workers)
     if failed:
         name, error = sorted(failed.items())[0]
         raise RuntimeError(f"table {name} could not be generated: {error}") from error
-    return count_sources(tables) if bench == "tpcds" else None
+    rows = [(name, found["rows"], *(found[x] for x in verify.SUMS)) for name, found in seen.items()]
+    shape = ", ".join(["table string, rows bigint", *(f"{x} bigint" for x in verify.SUMS)])
+    return constant_rows(spark, shape, rows).select("table", "rows", verify.content_text(*verify.SUMS).alias("content"))
 
 
 def inspect(spark: SparkSession, bench: str, sf, root: str, sources: DataFrame | None = None) -> Dataset:
@@ -116,8 +142,7 @@ def inspect(spark: SparkSession, bench: str, sf, root: str, sources: DataFrame |
     must not make a later step see files as they are then.
     """
     ensure_checkpoint_dir(spark)
-    listed = files.assign_table(files.list_parts(spark, root), bench).checkpoint()
-    footers = files.with_footers(listed).checkpoint()
+    footers = files.assign_table(scan.footers(spark, root), bench).checkpoint()
     return Dataset(bench, Decimal(str(sf)), root, footers, sources)
 
 
@@ -189,6 +214,15 @@ def load(
     return _publish(spark, dataset, namespace, run_id, present, checksum, workers)
 
 
+def file_schemas(parts: DataFrame) -> dict[str, StructType]:
+    """The schema of each table by its first part's footer; files say of no column that it can't be null."""
+    first = parts.where("table is not null and error is null").groupBy("table").agg(F.min_by("columns", "path").alias("columns"))
+    return {
+        row["table"]: StructType([StructField(c["name"], StructType.fromDDL(f"x {c['type']}")[0].dataType) for c in row["columns"]])
+        for row in first.collect()  # 8 or 24
+    }
+
+
 def require_durable(spark: SparkSession, uri: str, allow_local: bool = False) -> None:
     """Refuse a location that is not one for good; a local one only if it is not allowed."""
     found = spark.range(1).select(uri_problem(F.lit(uri)).alias("problem")).first().problem
@@ -249,30 +283,31 @@ def _publish(
     publish.ensure_manifest(spark, namespace)
     before = publish.read_manifest(spark, namespace)
 
+    schemas = file_schemas(dataset.parts)
+
     def create(name: str) -> None:
-        path = f"{dataset.root}/{name}"
-        source = spark.read.parquet(path)
-        identity = publish.create_table(spark, namespace, name, source.schema, path, properties)
-        if not conform.published_schema_violations(spark, f"{namespace}.{name}", source).isEmpty():
-            raise ValueError("the catalog has another schema than the files")
-        if not before.where(F.col("table") == name).isEmpty():
-            raise ValueError("a new table has registered files already")
-        identities[name] = identity
+        identities[name] = publish.create_table(spark, namespace, name, schemas[name], f"{dataset.root}/{name}", properties)
 
     errors = {name: masked(exc) for name, exc in for_each_table(spark, active, create, workers).items()}
+    odd = conform.published_schemas_violations(spark, {f"{namespace}.{name}": schemas[name] for name in identities})
+    for full_name in {r["table"] for r in odd.collect()}:
+        errors[full_name.split(".", 1)[1]] = "the catalog has another schema than the files"
+    for name in {r["table"] for r in before.select("table").distinct().collect()} & set(identities):
+        errors[name] = "a new table has registered files already"
+    identities = {name: identity for name, identity in identities.items() if name not in errors}
     created = [name for name in active if name in identities]
 
     # The bytes must still be the validated ones when they are registered. Hashing reads them all and
     # so knows their number; without hashing the files are listed again.
     digests, warnings = None, []
     if checksum:
-        digests = files.file_digest(dataset.parts).checkpoint()
+        digests = scan.composite_digests(spark, dataset.root).checkpoint()
         after = digests.select("path", F.col("read_bytes").alias("size_bytes"))
         copies = files.equal_content(dataset.parts.join(digests, "path"), "digest").count()
         if copies:
             warnings.append(f"files of equal content under several names: {copies}")
     else:
-        after = files.list_parts(spark, dataset.root)
+        after = scan.scan(spark, dataset.root, "listing")
     changed = inventory.size_changes(dataset.parts.select("path", "table", "size_bytes"), after)
     unstable = {r["table"] for r in changed.select("table").distinct().collect()}
     errors.update({name: "a file changed its size after validation" for name in unstable if name in created})
@@ -370,7 +405,12 @@ def write_report(result: Load, bench: str, sf, path: str) -> None:
     """
     spark = result.tables.sparkSession
     none = F.lit(None).cast("array<struct<local_path: string, row_count: bigint, size_bytes: bigint, remote_uri: string, state: string, md5: string>>")
-    bare = result.tables.withColumn("files", none)
+    tables = result.tables
+    if result.sources is not None:
+        tables = tables.join(result.sources.select("table", "content"), "table", "left")
+    else:
+        tables = tables.withColumn("content", F.lit(None).cast("string"))
+    bare = tables.withColumn("files", none)
     if result.files is not None:
         file = F.struct(
             F.col("uri").alias("local_path"),
@@ -382,7 +422,7 @@ def write_report(result: Load, bench: str, sf, path: str) -> None:
         )
         lines = F.greatest(F.lit(1), F.ceil(F.col("file_count") / FILES_PER_LINE))
         # At most 24 rows, so the files stay where they are.
-        small = F.broadcast(result.tables)
+        small = F.broadcast(tables)
         sized = result.files.join(F.broadcast(result.tables.select("table", "file_count")), "table")
         parts = (
             sized.withColumn("line", F.pmod(F.xxhash64("uri"), lines))
@@ -400,6 +440,7 @@ def write_report(result: Load, bench: str, sf, path: str) -> None:
         "row_count",
         "size_bytes",
         "file_count",
+        "content",
         "files",
     )
     failed = not result.tables.where("status not in ('succeeded', 'skipped')").isEmpty()
@@ -481,17 +522,15 @@ def verify_load(
     if allow_local:
         unfit = unfit.where("problem <> 'local'")
     checks.append(conform.violation(unfit, "uri", F.col("table"), F.col("uri"), F.lit("durable"), F.col("problem")))
-    for name in sorted(there):
-        checks.append(
-            conform.published_schema_violations(spark, f"{namespace}.{name}", empty_table(spark, bench, name))
-        )
+    wanted_schemas = {f"{namespace}.{name}": table_schema(bench, name) for name in sorted(there)}
+    checks.append(conform.published_schemas_violations(spark, wanted_schemas))
     live = inventory.current_inventory(publish.read_manifest(spark, namespace))
     listed = wanted.select("table", "uri", F.col("row_count").alias("rows"), "size_bytes")
     diff = inventory.inventory_diff(listed, live.where(F.col("table").isin(names)))
     checks.append(
         conform.violation(diff, "manifest", F.col("table"), F.col("uri"), F.col("expected_rows"), F.col("difference"))
     )
-    stored = files.with_footers(files.list_parts(spark, root)).withColumn("uri", F.col("path"))
+    stored = scan.footers(spark, root).withColumn("uri", F.col("path"))
     parity = verify.stored_parity(wanted, stored).where("finding <> 'ok'")
     checks.append(
         conform.violation(parity, "stored", F.col("table"), F.col("uri"), F.col("size_bytes"), F.col("finding"))
@@ -500,6 +539,11 @@ def verify_load(
         decoded = reduce(
             DataFrame.unionByName,
             [verify.full_decode(spark, f"{root}/{name}").withColumn("table", F.lit(name)) for name in names],
+        ).checkpoint()
+        recorded = succeeded.select("table", "content").distinct()
+        other = verify.content_differences(recorded, decoded)
+        checks.append(
+            conform.violation(other, "content", F.col("table"), F.col("table"), F.col("content"), F.col("found"))
         )
         # Spark writes file paths as URIs here and as plain paths in listings; the file names are unique.
         left = wanted.where("row_count > 0").withColumn("file", F.substring_index("uri", "/", -1))
@@ -509,10 +553,19 @@ def verify_load(
             conform.violation(read, "decode", F.col("table"), F.col("uri"), F.col("row_count"), F.col("decoded_rows"))
         )
     if checksum:
-        for kind, column in (("md5", "md5"), ("sha256", "sha256")):
-            having = F.col("md5").isNotNull() if kind == "md5" else F.col("md5").isNull() & F.col("sha256").isNotNull()
-            recorded = wanted.where(having).select("table", "uri", "size_bytes", F.col(column).alias("digest"))
-            read = files.file_digest(recorded.select(F.col("uri").alias("path")), kind)
+        # Large files have a digest of their ranges' digests; other writers record a plain one of the whole file.
+        joined = F.col("md5").contains("-") | (F.col("size_bytes") < files.RANGED_FROM)
+        kinds = wanted.select(
+            "table", "uri", "size_bytes", F.coalesce("md5", "sha256").alias("digest"),
+            F.when(F.col("md5").isNull(), "sha256").when(joined, "composite").otherwise("md5").alias("kind"),
+        ).where("digest is not null")
+        met = {r["kind"] for r in kinds.select("kind").distinct().collect()}
+        for kind in sorted(met):
+            recorded = kinds.where(F.col("kind") == kind)
+            if kind == "composite":
+                read = scan.composite_digests(spark, root)
+            else:
+                read = files.file_digest(recorded.select(F.col("uri").alias("path"), "size_bytes"), kind)
             found = verify.digest_findings(recorded, read).join(recorded.select("table", "uri"), "uri")
             checks.append(
                 conform.violation(
@@ -530,7 +583,8 @@ def verify_load(
         checks.append(
             conform.violation(scanned, "sample", F.col("table"), F.col("table"), F.col("rows"), F.col("sampled"))
         )
-    return reduce(DataFrame.unionByName, checks)
+    # As seen now, in one job: the checks of a union run side by side, and a later look at it reads nothing again.
+    return reduce(DataFrame.unionByName, checks).checkpoint()
 
 
 def run_sql_files(spark: SparkSession, folder: str, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:

@@ -10,10 +10,11 @@ from __future__ import annotations
 import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from benchloom.operators.verify import content_sums
 from benchloom.schemas import SALE_TABLES, benchmark
 from benchloom.session import constant_rows
 
@@ -50,8 +51,18 @@ def writer_options(bench: str, table: str = "") -> dict[str, str]:
     return {"compression": "zstd", **layout, **plain}
 
 
-def write_table(df: DataFrame, path: str, bench: str, table: str = "") -> None:
-    """Write one table's files; an existing folder is an error, never overwritten."""
+def write_table(df: DataFrame, path: str, bench: str, table: str = "") -> dict[str, int]:
+    """Write one table's files; an existing folder is an error, never overwritten.
+
+    Returns the rows and the content sums of what was written, observed while it was.
+    """
+    seen = Observation()
+    observed = df.observe(seen, F.count("*").alias("rows"), *content_sums(df))
+    _write(observed, path, bench, table)
+    return {name: value or 0 for name, value in seen.get.items()}
+
+
+def _write(df: DataFrame, path: str, bench: str, table: str) -> None:
     df.write.mode("errorifexists").options(**writer_options(bench, table)).parquet(path)
 
 

@@ -228,11 +228,11 @@ def _type_name(dtype: pa.DataType) -> str:
     return plain.get(dtype, str(dtype))
 
 
-def _footer(path: str) -> dict:
+def _footer(path: str, opened=None) -> dict:
     import pyarrow.parquet as pq
 
     try:
-        with _open(path) as source:
+        with (opened or _open)(path) as source:
             meta = pq.read_metadata(source)
         columns = []
         for field in meta.schema.to_arrow_schema():

@@ -313,3 +313,52 @@ def test_size_check_uses_the_listing(spark, tmp_path):
     row = size_changes(before, files.list_parts(spark, str(tmp_path))).first()
     assert (row["size_before"], row["size_after"]) == (4, 5)
     before.unpersist()
+
+
+def test_changed_content_is_found(spark, tmp_path):
+    """Rows, sizes and names may all be right: the sums of the rows tell."""
+    result = workflow.require_loaded(workflow.load(spark, "tpch", SF, "content", str(tmp_path), run_id="r", allow_local=True))
+    workflow.write_report(result, "tpch", SF, f"{tmp_path}/report")
+    tables = verify.report_tables(verify.read_reports(spark, f"{tmp_path}/report", lines=True))
+    assert tables.where("content is null").isEmpty()
+
+    def content_findings():
+        found = workflow.verify_load(spark, f"{tmp_path}/report", f"{tmp_path}/r", full_read=True, allow_local=True)
+        return {r["table"] for r in found.where("check = 'content'").collect()}
+
+    assert content_findings() == set()
+    part = next((tmp_path / "r" / "nation").glob("*.parquet"))
+    table = pq.read_table(part)
+    keys = table["n_regionkey"].to_pylist()
+    keys[0] += 1
+    pq.write_table(table.set_column(2, "n_regionkey", [keys]).cast(table.schema), part)
+    (part.parent / f".{part.name}.crc").unlink()
+    spark.catalog.clearCache()
+    assert content_findings() == {"nation"}
+
+
+def test_rows_are_counted_while_written(spark, tmp_path):
+    seen = workflow.write_dataset(spark, "tpcds", "0.001", str(tmp_path))
+    found = {r["table"]: r for r in seen.collect()}
+    for name in ("store_sales", "date_dim", "reason"):
+        again = spark.read.parquet(f"{tmp_path}/{name}")
+        assert again.count() == found[name]["rows"]
+        content = again.agg(*verify.content_sums(again)).select(verify.content_text(*verify.SUMS)).first()[0]
+        assert content == found[name]["content"]
+
+
+def test_tables_have_pools_and_can_be_cut_off(spark):
+    import time
+
+    pools = {}
+
+    def work(name):
+        pools[name] = spark.sparkContext.getLocalProperty("spark.scheduler.pool")
+        seconds = {"slow": 25, "fast": 1}[name]
+        spark.range(0, 1, 1, 1).selectExpr(f"java_method('java.lang.Thread', 'sleep', id + {seconds}000L)").collect()
+
+    started = time.time()
+    failed = workflow.for_each_table(spark, ["slow", "fast"], work, seconds=6)
+    assert set(failed) == {"slow"} and time.time() - started < 20
+    assert pools == {"slow": "benchloom-slow", "fast": "benchloom-fast"}
+    assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None and not spark.sparkContext.getJobTags()
