@@ -17,6 +17,8 @@ hash of their text; null keys come first. Only the named columns are read.
 
 from __future__ import annotations
 
+import json
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -114,11 +116,14 @@ class Encoder:
 
     def __init__(self, path: str) -> None:
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True  # their strings in a text are ordinary text
         names = self.library.get_vocab(with_added_tokens=True)
         self.bytes_of = np.zeros(max(names.values()) + 1, np.int64)
         for name, number in names.items():
             self.bytes_of[number] = len(name)  # one character stands for one byte
+        # The library finds these strings before it looks for words.
+        for number, added in self.library.get_added_tokens_decoder().items():
+            self.bytes_of[number] = len(added.content.encode())
+        self.spans = cuts_at_spaces(self.library)
         self.forget()
 
     def forget(self) -> None:
@@ -160,6 +165,9 @@ class Encoder:
         """(ids of all texts, their number in each) of UTF-8 texts."""
         if not len(data):
             return np.empty(0, np.uint32), np.zeros(len(offsets) - 1, np.int64)
+        if not self.spans:
+            ids = self._ids([data[a:b].tobytes().decode() for a, b in zip(offsets, offsets[1:])])
+            return np.concatenate(ids), np.array([len(x) for x in ids], np.int64)
         # Cut before a space after a byte that ends no white space; the heads of texts are cuts as well.
         solid = _ends_solid(data)
         cut = np.zeros(len(data), bool)
@@ -189,6 +197,25 @@ class Encoder:
         )
 
 
+def cuts_at_spaces(library: Tokenizer) -> bool:
+    """Whether a text's ids are those of its spans: words are found by the byte-level pattern, nothing is changed before
+    or after, and no added token holds or takes in white space. For any other file whole texts are encoded."""
+    parts = json.loads(library.to_str())
+    words = parts["pre_tokenizer"] or {}
+    plain = all(
+        not (re.search(r"\s", x["content"]) or x["lstrip"] or x["rstrip"] or x["single_word"]) for x in parts["added_tokens"]
+    )
+    return (
+        plain
+        and parts["normalizer"] is None
+        and not parts["truncation"]
+        and not parts["padding"]
+        and words.get("type") == "ByteLevel"
+        and words.get("use_regex", True)
+        and not words.get("add_prefix_space")
+    )
+
+
 def _ends_solid(data: np.ndarray) -> np.ndarray:
     """Whether each byte surely ends a character that is no white space: those of Unicode are U+0085, U+00A0 and some
     whose first of three bytes is E1, E2 or E3."""

@@ -89,3 +89,25 @@ def test_empty_tables(spark, tmp_path):
     assert bpe.decode(bpe.encode(empty, *RANKS), *RANKS).count() == 0
     token_files.write(empty, f"{tmp_path}/files", FILE)
     assert token_files.read(spark, f"{tmp_path}/files").count() == 0
+
+
+def test_strings_of_added_tokens():
+    library = Tokenizer.from_file(FILE)
+    texts = ["a <|endoftext|>b", "<|endoftext|>", "x<|endoftext|> y <|endoftext|><|endoftext|>  z", "<|endoftext"]
+    own = token_files.Encoder(FILE)
+    ids, counts = own.encode(*utf8(pa.array(texts * 3)))
+    assert own.spans and ids.tolist() == [x for t in texts * 3 for x in library.encode(t, add_special_tokens=False).ids]
+    assert 50256 in ids
+
+
+def test_other_tokenizers_encode_whole_texts(tmp_path):
+    from tokenizers import normalizers
+
+    library = Tokenizer.from_file(FILE)
+    library.normalizer = normalizers.Lowercase()
+    library.save(str(tmp_path / "other.json"))
+    own = token_files.Encoder(str(tmp_path / "other.json"))
+    texts = ["A B  c", "", "D e"]
+    ids, counts = own.encode(*utf8(pa.array(texts)))
+    assert not own.spans and ids.tolist() == [x for t in texts for x in library.encode(t, add_special_tokens=False).ids]
+    assert counts.tolist() == [len(library.encode(t).ids) for t in texts]
