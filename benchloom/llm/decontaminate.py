@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
 from benchloom.llm.columns import LETTERS_DIGITS, Words, lower, slices, utf8
 from benchloom.llm.fm_index import FMIndex
@@ -202,7 +204,7 @@ def hits(
 
 
 def _arrow_type(name: str) -> pa.DataType:
-    return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[name]
+    return to_arrow_type(DataType.fromDDL(name))
 
 
 def contaminated(n_words: Column, n_hit: Column) -> Column:

@@ -155,3 +155,10 @@ def test_language_model_of_nothing(spark):
     model = language_model.fit(documents, F.lit(False))
     assert language_model.score(documents, model).agg(F.sum("score")).first()[0] == 0
     assert language_model.score(documents.limit(0), model).count() == 0
+
+
+@pytest.mark.parametrize("kind", ["smallint", "int", "string", "decimal(9,0)"])
+def test_items_of_other_types(spark, kind):
+    frame = items(spark).select(F.col("item_id").cast(kind).alias("item_id"), "text")
+    got = decontaminate.hits(brute.documents(spark), frame, result="mine")
+    assert got.where("size(mine.items) > 0").count() > 0
