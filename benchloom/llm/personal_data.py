@@ -1,9 +1,10 @@
 """Personal data in texts: seeds by their form, then what stands where they stand.
 
 DataFrame functions only. Seeds are e-mail addresses, IPv4 addresses, payment cards (14 to 19 digits with a right check
-digit) and international phone numbers (10 to 15 digits). The two words before an entity are its lexical pattern. Other
-tokens that look like identifiers (four digits or more, or an @) are candidates. Over the graph of patterns and tokens,
-``ROUNDS`` times: a pattern's confidence for a kind is the mean confidence of the different tokens after it, a token's that
+digit) and international phone numbers (10 to 15 digits). The last two words of the text before an entity, whatever their
+length, are its lexical pattern; a word that is joined to more than two earlier matches of the same form begins with the
+second of them. Other tokens of any length that look like identifiers (four digits or more, or an @) are candidates.
+Over the graph of patterns and tokens, until the accepted patterns stay the same (``MOST_ROUNDS`` at most): a pattern's confidence for a kind is the mean confidence of the different tokens after it, a token's that
 at least one of its accepted patterns is right. A pattern is accepted from ``PRECISION`` and ``SUPPORT`` on. Candidates after
 an accepted pattern are reported as ``found_`` and the kind.
 
@@ -18,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from benchloom.llm.components import written
-from benchloom.llm.spans import PLACES, matches, sweeps
+from benchloom.llm.spans import PLACES, blocks, matches, piece, running_maxima, sweeps
 
 EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IP = r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}"
@@ -26,9 +27,9 @@ CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 #: Kinds in the order in which they are listed; those found by context come after them.
 KINDS = ("email", "ip", "card", "phone")
-TOKEN = r"(?<![A-Za-z0-9@._%+/-])(?=[A-Za-z._%+/-]{0,63}[0-9@])[A-Za-z0-9@._%+/-]{4,}+"
+TOKEN = r"(?<![A-Za-z0-9@._%+/-])(?=[A-Za-z._%+/-]*+[0-9@])[A-Za-z0-9@._%+/-]{4,}+"
 
-ROUNDS = 3
+MOST_ROUNDS = 20
 PRECISION = 0.6
 SUPPORT = 3.0
 #: What an accepted pattern is worth for a token.
@@ -57,23 +58,28 @@ def _is_card(text: Column) -> Column:
 def seeds(text: Column) -> dict[str, Column]:
     """The matches of each kind."""
     return {
-        "email": matches(text, EMAIL),
-        "ip": F.filter(matches(text, IP), lambda m: _is_ip(m["found"])),
-        "card": F.filter(matches(text, CARD), lambda m: _is_card(m["found"])),
-        "phone": F.filter(matches(text, PHONE), lambda m: F.length(digits(m["found"])).between(10, 15)),
+        "email": matches(text, EMAIL, True),
+        "ip": F.filter(matches(text, IP, True), lambda m: _is_ip(m["found"])),
+        "card": F.filter(matches(text, CARD, True), lambda m: _is_card(m["found"])),
+        "phone": F.filter(matches(text, PHONE, True), lambda m: F.length(digits(m["found"])).between(10, 15)),
     }
 
 
 def pattern(before: Column) -> Column:
-    """The last two words, in lower case, of what stands before an entity."""
-    return F.regexp_extract(F.lower(F.substring(before, -80, 80)), r"((?:\S+\s+)?\S+)\s*$", 1)
+    """The last two words, in lower case, of what stands before an entity, with one space between them."""
+    near = F.lower(F.substring(before, -80, 80))
+    two = F.regexp_extract(near, r"\s(\S++\s++\S++)\s*+$", 1)
+    every = F.filter(F.split(F.lower(before), r"\s+", -1), lambda w: w != "")
+    # The words of the whole text before it only where two don't end within 80 characters.
+    last = F.array_join(F.slice(every, F.greatest(F.size(every) - 1, F.lit(1)), F.lit(2)), " ")
+    return F.when(two != "", F.regexp_replace(two, r"\s+", " ")).otherwise(last)
 
 
 def parts(text: Column) -> Column:
     """Seeds and candidates of a text, each with its token and its pattern."""
     tokens = F.filter(
-        F.transform(matches(text, TOKEN), lambda m: m.withField("found", F.regexp_replace(m["found"], "[._%+/-]+$", ""))),
-        lambda m: (F.length(m["found"]) <= 64) & ((F.length(digits(m["found"])) >= 4) | m["found"].contains("@")),
+        F.transform(matches(text, TOKEN, True), lambda m: m.withField("found", F.regexp_replace(m["found"], "[._%+/-]+$", ""))),
+        lambda m: (F.length(digits(m["found"])) >= 4) | m["found"].contains("@"),
     )
 
     def part(matched: Column, kind: str, order: int) -> Column:
@@ -110,8 +116,8 @@ def learn(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     edges = written(found.select("pattern", "token").distinct(), "edges")
     sizes = edges.groupBy("pattern").agg(F.count("*").alias("n"))
     sure = written(found.where(seed).select("token", "kind").distinct().withColumn("belief", F.lit(1.0)), "beliefs")
-    beliefs, accepted = sure, None
-    for _ in range(ROUNDS):
+    beliefs, accepted, before = sure, None, None
+    for _ in range(MOST_ROUNDS):
         sums = edges.join(beliefs, "token").groupBy("pattern", "kind").agg(F.sum("belief").alias("support"))
         confidence = (F.col("support") / F.col("n")).alias("confidence")
         scored = sums.where(F.col("support") >= SUPPORT).join(sizes, "pattern").select("pattern", "kind", confidence)
@@ -119,6 +125,11 @@ def learn(found: DataFrame) -> tuple[DataFrame, DataFrame]:
             F.max_by(F.struct("kind", "confidence"), F.struct("confidence", "kind")).alias("best")
         )
         accepted = written(best.select("pattern", "best.*"), "patterns")
+        mark = F.sum(F.xxhash64("pattern", "kind").cast("decimal(20,0)"))
+        state = accepted.agg(F.count("*").alias("n"), mark.alias("mark")).first()
+        if state == before:
+            break
+        before = state
         doubt = F.exp(F.sum(F.log(1 - TRUST * F.least("confidence", F.lit(1.0)))))
         induced = edges.join(accepted, "pattern").groupBy("token", "kind").agg((1 - doubt).alias("belief"))
         beliefs = written(
@@ -158,26 +169,26 @@ def find(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     )
 
 
-def masked(text: Column, spans: Column) -> Column:
-    """The text with each span, or run of spans that overlap, as the kind of its first in brackets. Spans are sorted."""
-    # What is covered before each span; null before the first.
-    until = F.transform(
-        spans,
-        lambda s, i: F.when(i > 0, F.array_max(F.transform(F.slice(spans, F.lit(1), i), lambda x: x["end"]))).otherwise(F.lit(0)),
-    )
+def masked(text: Column, spans: Column, blocked: Column) -> Column:
+    """The text with each span, or run of spans that overlap, as the kind of its first in brackets. Spans are sorted.
+
+    ``spans``, and ``blocked``, the text in blocks, must be columns that stand already: they are read for every span.
+    """
+    # What is covered before each span: up to 0 before the first, then the furthest end so far.
+    ends = running_maxima(F.transform(spans, lambda s: s["end"]))
+    until = F.concat(F.array(F.lit(0).cast("bigint")), F.slice(ends, F.lit(1), F.size(ends) - 1))
     pieces = F.zip_with(
         spans,
         until,
         lambda s, done: F.when(
             s["start"] >= done,
             F.concat(
-                text.substr((done + 1).cast("int"), (s["start"] - done).cast("int")),
+                piece(blocked, done, s["start"]),
                 F.lit("["), F.upper(F.regexp_replace(s["kind"], "^found_", "")), F.lit("]"),
             ),
         ).otherwise(F.lit("")),
     )
-    last = F.array_max(F.transform(spans, lambda s: s["end"]))
-    rest = text.substr((last + 1).cast("int"), F.length(text))
+    rest = piece(blocked, F.array_max(F.transform(spans, lambda s: s["end"])), F.length(text))
     return F.when(F.size(spans) > 0, F.concat(F.array_join(pieces, ""), rest)).otherwise(text)
 
 
@@ -189,6 +200,8 @@ def redact(documents: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     # Rows repeated have the same spans.
     spans = spans.groupBy("__key", "__version").agg(F.first("__spans").alias("__spans"))
     same = documents[key].eqNullSafe(F.col("__key")) & (F.xxhash64(documents[text]) == F.col("__version"))
-    joined = documents.join(spans, same, "left")
-    clean = F.when(F.col("__spans").isNull(), documents[text]).otherwise(masked(documents[text], F.col("__spans")))
+    cut = F.when(F.col("__spans").isNotNull(), blocks(documents[text]))
+    joined = documents.join(spans, same, "left").withColumn("__blocks", cut)
+    covered = masked(documents[text], F.col("__spans"), F.col("__blocks"))
+    clean = F.when(F.col("__spans").isNull(), documents[text]).otherwise(covered)
     return joined.select(*(clean.alias(c) if c == text else documents[c] for c in documents.columns))

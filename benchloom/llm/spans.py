@@ -33,8 +33,45 @@ def running_sums(values: Column) -> Column:
     return F.when(F.size(values) <= RUN, short(values)).otherwise(long)
 
 
-def matches(text: Column, pattern: str) -> Column:
-    """``array<struct<start, end, found, before>>``: every match with the text between it and the one before it.
+def running_maxima(values: Column) -> Column:
+    """The largest of the first 1, 2, … values of an array of whole numbers, none negative."""
+
+    def short(x: Column) -> Column:
+        start = F.array(F.lit(0).cast("bigint"))
+        tops = F.aggregate(x, start, lambda acc, v: F.concat(acc, F.array(F.greatest(F.element_at(acc, -1), v))))
+        return F.slice(tops, F.lit(2), F.size(x))
+
+    runs = F.transform(
+        F.sequence(F.lit(0), F.ceil(F.size(values) / F.lit(RUN)).cast("int") - 1),
+        lambda i: F.slice(values, i * RUN + 1, F.lit(RUN)),
+    )
+    tops = short(F.transform(runs, F.array_max))
+    long = F.flatten(F.zip_with(runs, F.concat(F.array(F.lit(0).cast("bigint")), F.slice(tops, F.lit(1), F.size(tops) - 1)), lambda run, before: F.transform(short(run), lambda x: F.greatest(x, before))))
+    return F.when(F.size(values) <= RUN, short(values)).otherwise(long)
+
+
+#: Code points of a block of text.
+BLOCK = 2048
+
+
+def blocks(text: Column) -> Column:
+    """The text in blocks, so that a piece from its middle is found without a walk from its start."""
+    last = F.floor((F.length(text) - 1) / F.lit(BLOCK)).cast("int")
+    cut = F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: text.substr(i * BLOCK + 1, F.lit(BLOCK)))
+    return F.when(F.length(text) > BLOCK, cut).otherwise(F.array(text))
+
+
+def piece(blocked: Column, start: Column, end: Column) -> Column:
+    """The code points from ``start`` to ``end`` (exclusive) of a text in blocks."""
+    first = F.floor(start / F.lit(BLOCK)).cast("int")
+    last = F.floor((end - 1) / F.lit(BLOCK)).cast("int")
+    joined = F.array_join(F.slice(blocked, first + 1, last - first + 1), "")
+    return F.when(end > start, joined.substr((start - first * BLOCK + 1).cast("int"), (end - start).cast("int"))).otherwise("")
+
+
+def matches(text: Column, pattern: str, context: bool = False) -> Column:
+    """``array<struct<start, end, found, before>>``: every match with the text between it and the one before it; with
+    ``context`` the text from the second match before it on, that match included.
 
     ``start`` counts code points from 0 and ``end`` is exclusive. Null for null.
     """
@@ -44,6 +81,15 @@ def matches(text: Column, pattern: str) -> Column:
         F.slice(gaps, F.lit(1), F.size(found)), found, lambda gap, match: F.struct(gap.alias("before"), match.alias("found"))
     )
     ends = running_sums(F.transform(pairs, lambda p: (F.length(p["before"]) + F.length(p["found"])).cast("bigint")))
+    if context:
+        # Arrays moved by one and two places, not looked up by place: what a function over an array takes from outside
+        # is evaluated for every element.
+        whole = F.transform(pairs, lambda p: F.concat(p["before"], p["found"]))
+        one, two = (F.slice(F.concat(F.array(*[F.lit("")] * n), whole), F.lit(1), F.size(found)) for n in (1, 2))
+        earlier = F.zip_with(two, one, lambda a, b: F.concat(a, b))
+        pairs = F.zip_with(
+            earlier, pairs, lambda e, p: F.struct(F.concat(e, p["before"]).alias("before"), p["found"].alias("found"))
+        )
     placed = F.zip_with(
         pairs,
         ends,

@@ -105,10 +105,38 @@ def test_masks_merge_overlaps(spark):
     made_spans = F.transform(
         places, lambda s: F.struct(s.alias("start"), F.lit(0).alias("order"), F.lit("email").alias("kind"), (s + 4).alias("end"))
     )
-    got = row.select(personal_data.masked(F.col("text"), made_spans).alias("t")).first().t
+    row = row.select("text", made_spans.alias("spans"), personal_data.blocks(F.col("text")).alias("blocked"))
+    got = row.select(personal_data.masked(F.col("text"), F.col("spans"), F.col("blocked")).alias("t")).first().t
     assert got == "[EMAIL]" + text[7:14] + "[EMAIL]"
 
 
 def test_nothing(spark):
     empty = brute.documents(spark, [])
     assert secret_links.find(empty).count() == personal_data.find(empty).count() == personal_data.redact(empty).count() == 0
+
+
+def test_contexts_are_the_two_words_before(spark):
+    long = "w" * 300
+    text = f"Please mail\n to a0@x0.com, b0@y0.com; c0@z0.com {long} {long} d0@w0.com\tid {'9' * 90}x and 1234567"
+    row = spark.createDataFrame([(text,)], "text string").select(F.explode(personal_data.parts(F.col("text"))).alias("p")).select("p.*")
+    places = {}
+    for r in row.collect():
+        before = text[: r.start].lower().split()
+        assert r.pattern == " ".join(before[-2:]), r
+        places.setdefault(r.start, set()).add(r.pattern)
+    assert len(places) == 6 and all(len(x) == 1 for x in places.values())
+
+
+def test_many_addresses_are_masked_in_time(spark):
+    import time
+
+    text = " ".join(f"u{i}@x{i}.com" for i in range(70_000))
+    bounds, at = [], 0
+    for word in text.split(" "):
+        bounds.append((at, 0, "email", at + len(word)))
+        at += len(word) + 1
+    shape = "text string, spans array<struct<start: bigint, `order`: int, kind: string, end: bigint>>"
+    row = spark.createDataFrame([(text, bounds)], shape).withColumn("blocked", personal_data.blocks(F.col("text")))
+    started = time.time()
+    got = row.select(personal_data.masked(F.col("text"), F.col("spans"), F.col("blocked")).alias("t")).first().t
+    assert len(text) > 1_000_000 and got == " ".join(["[EMAIL]"] * 70_000) and time.time() - started < 60
