@@ -21,7 +21,6 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.types import DataType
 
 from benchloom.llm.columns import LETTERS_DIGITS, Words, lower, slices, utf8
 from benchloom.llm.fm_index import FMIndex
@@ -140,6 +139,7 @@ def hits(
     """
     places = build_blocks(benchmark, item, item_text, window)
     item_type = benchmark.schema[item].dataType.simpleString()
+    arrow_item = to_arrow_type(benchmark.schema[item].dataType)
     fields = {
         "n_words": "bigint",
         "n_hit": "bigint",
@@ -181,7 +181,7 @@ def hits(
             [
                 pa.array(found.counts, pa.int64()),
                 pa.array(n_hit, pa.int64()),
-                pa.array([sorted(x - {None}) for x in listed], pa.list_(_arrow_type(item_type))),
+                pa.array([sorted(x - {None}) for x in listed], pa.list_(arrow_item)),
                 pa.ListArray.from_arrays(pa.array(bounds), spans),
             ],
             names=list(fields),
@@ -203,10 +203,6 @@ def hits(
     return arrow_map(documents, work, with_struct(documents, result, fields))
 
 
-def _arrow_type(name: str) -> pa.DataType:
-    return to_arrow_type(DataType.fromDDL(name))
-
-
 def contaminated(n_words: Column, n_hit: Column) -> Column:
     """Whether a document counts as contaminated: a twentieth of its words or more are hit."""
     return (n_hit > 0) & (n_hit * 20 >= n_words)
