@@ -1,10 +1,16 @@
-"""Quality by compression: a zstandard dictionary of good texts and one of bad ones; the difference of what a text takes
-with each, over its length, becomes a calibrated score.
+"""Quality by compression: a zstandard dictionary of good texts and one of bad ones; the normalised difference of what a
+text takes with each becomes a calibrated score.
+
+The difference is (size with the bad dictionary - size with the good one) / sqrt(bytes of the text): both sizes are sums
+over the text, so chance alone moves their difference by about that root, and a long text weighs no more than its evidence.
+The score is a logistic function of this number alone.
 
 Everything is fitted to bounded samples of labelled documents, chosen by a hash of their key: the dictionaries to at most
-``MOST_TEXTS`` texts of each kind of at most ``LONGEST`` bytes, the calibration to the sizes of at most ``MOST_SIZES``
-others. Every whole text is scored. Null and empty texts have the score of difference 0; without labels of both kinds
-all texts have the share of good labels. Further columns are passed on; the result is one column named by a parameter.
+``MOST_TEXTS`` texts of each kind of at most ``LONGEST`` bytes (longer and empty ones are left out before the sample is
+taken), the calibration to the sizes of at most ``MOST_SIZES`` others, of any length. A key that stands more than once is
+one document there. Every whole text is scored. Null and empty texts have the score of difference 0; without labels of both
+kinds all texts have the share of good labels. Further columns are passed on; the result is one column named by a
+parameter.
 """
 
 from __future__ import annotations
@@ -27,19 +33,16 @@ MOST_SIZES = 20_000
 DICTIONARY = 1 << 16
 LEVEL = 3
 THRESHOLD = 0.3
-FEATURES = ("over", "share", "long", "good_over", "good_over_2", "good_over_long", "over_long")
 
 
 class Classifier(NamedTuple):
     bad: bytes
     good: bytes
-    centre: np.ndarray
-    scale: np.ndarray
-    weights: np.ndarray  # the last one is the constant
+    slope: float
+    constant: float
 
-    def score(self, features: np.ndarray) -> np.ndarray:
-        z = np.clip((features - self.centre) / self.scale, -8, 8) @ self.weights[:-1] + self.weights[-1]
-        return 1 / (1 + np.exp(-z))
+    def score(self, differences: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(differences * self.slope + self.constant, -30, 30)))
 
 
 def dictionary(texts: list[bytes]) -> bytes:
@@ -56,32 +59,25 @@ def compressor(content: bytes) -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(level=LEVEL, dict_data=held, write_content_size=False, write_dict_id=False)
 
 
-def features(column: pa.Array, bad: zstandard.ZstdCompressor, good: zstandard.ZstdCompressor) -> np.ndarray:
-    """For each text the difference of the compressed sizes over the length and over their sum, and, as repetitive or
-    short texts leave little to differ, the good size over the length and the logarithm of the length, with products."""
+def differences(column: pa.Array, bad: zstandard.ZstdCompressor, good: zstandard.ZstdCompressor) -> np.ndarray:
+    """The normalised difference of each text."""
     data, offsets = utf8(column)
     view = memoryview(data)
-    sizes = np.array(
-        [(len(bad.compress(view[a:b])), len(good.compress(view[a:b]))) for a, b in zip(offsets, offsets[1:])], float
-    ).reshape(-1, 2)
-    length = np.maximum(np.diff(offsets), 1)
-    difference = sizes[:, 0] - sizes[:, 1]
-    over, long, good_over = difference / length, np.log1p(length), sizes[:, 1] / length
-    share = difference / np.maximum(sizes.sum(axis=1), 1)
-    return np.stack([over, share, long, good_over, good_over**2, good_over * long, over * long], axis=1)
-
-
-def logistic(rows: np.ndarray, truth: np.ndarray, ridge: float = 1.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(centre, scale, weights) of a logistic regression, by Newton's steps."""
-    centre, scale = rows.mean(axis=0), np.maximum(rows.std(axis=0), 1e-9)
-    table = np.column_stack([np.clip((rows - centre) / scale, -8, 8), np.ones(len(rows))])
-    weights, penalty = np.zeros(table.shape[1]), np.append(np.full(rows.shape[1], ridge), 1e-6)
+    more = [len(bad.compress(view[a:b])) - len(good.compress(view[a:b])) for a, b in zip(offsets, offsets[1:])]
+    return np.array(more, float) / np.sqrt(np.maximum(np.diff(offsets), 1))
+
+
+def logistic(values: np.ndarray, truth: np.ndarray, ridge: float = 1.0) -> tuple[float, float]:
+    """(slope, constant) of a logistic regression on one number, by Newton's steps."""
+    centre, scale = values.mean(), max(values.std(), 1e-9)
+    table = np.column_stack([np.clip((values - centre) / scale, -8, 8), np.ones(len(values))])
+    weights, penalty = np.zeros(2), np.array([ridge, 1e-6])
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(table @ weights, -30, 30)))
         slope = table.T @ (truth - p) - penalty * weights
         curve = (table * (p * (1 - p))[:, None]).T @ table + np.diag(penalty)
         weights = weights + np.clip(np.linalg.solve(curve, slope), -3, 3)
-    return centre, scale, weights
+    return float(weights[0] / scale), float(weights[1] - weights[0] * centre / scale)
 
 
 def fit(
@@ -90,42 +86,41 @@ def fit(
     """Fit to the documents that ``labels`` covers."""
     documents = documents.select(key, text)
     half = F.pmod(F.xxhash64(F.col(key)), F.lit(2))
+    short = documents.where(F.octet_length(text).between(1, LONGEST))
     texts: list[list[bytes]] = []
     for wanted in (0, 1):
-        chosen = sample(documents, labels.where((F.col(label) == wanted) & (half == 0)), label, key, MOST_TEXTS)
-        short = chosen.where(F.octet_length(text).between(1, LONGEST)).select(F.col(text).alias("text"))
-        texts.append([x.encode() for x in short.toArrow().column("text").to_pylist()])
+        chosen = sample(short, labels.where((F.col(label) == wanted) & (half == 0)), label, key, text, MOST_TEXTS)
+        texts.append([x.encode() for x in chosen.select("__text").toArrow().column("__text").to_pylist()])
     bad, good = map(dictionary, texts)
 
     def work(batches):
         pair = compressor(bad), compressor(good)
-        for batch in slices(batches, text):
-            found = features(batch.column(text), *pair)
-            yield pa.record_batch(
-                [*(pa.array(x) for x in found.T), batch.column("__label")], names=[*FEATURES, "label"]
-            )
-
-    chosen = sample(documents, labels.where(half == 1), label, key, MOST_SIZES).select(text, "__label")
-    got = arrow_map(chosen, work, ", ".join(f"{x} double" for x in FEATURES) + ", label int").toArrow()
-    rows = np.stack([got.column(x).to_numpy() for x in FEATURES], axis=1)
-    truth = got.column("label").to_numpy().astype(float)
-    order = np.lexsort((truth, *rows.T))  # the order of arrival is not fixed
-    rows, truth = rows[order], truth[order]
+        for batch in slices(batches, "__text"):
+            found = differences(batch.column("__text"), *pair)
+            yield pa.record_batch([pa.array(found), batch.column("__label")], names=["difference", "label"])
+
+    chosen = sample(documents, labels.where(half == 1), label, key, text, MOST_SIZES)
+    got = arrow_map(chosen, work, "difference double, label int").toArrow()
+    values, truth = got.column("difference").to_numpy(), got.column("label").to_numpy().astype(float)
+    order = np.lexsort((truth, values))  # the order of arrival is not fixed
+    values, truth = values[order], truth[order]
     if not bad or not good or len(np.unique(truth)) < 2:
-        n_features = len(FEATURES)
         n, of_good = sum(map(len, texts)) + len(truth), len(texts[1]) + truth.sum()
-        odds = np.log((of_good + 1) / (n - of_good + 1))
-        return Classifier(bad, good, np.zeros(n_features), np.ones(n_features), np.append(np.zeros(n_features), odds))
-    return Classifier(bad, good, *logistic(rows, truth))
+        return Classifier(bad, good, 0.0, float(np.log((of_good + 1) / (n - of_good + 1))))
+    return Classifier(bad, good, *logistic(values, truth))
 
 
 def classify(documents: DataFrame, model: Classifier, text: str = "text", result: str = "quality") -> DataFrame:
-    """The documents with one more column: the score, and whether it is at least ``THRESHOLD``. One map."""
+    """The documents with one more column: the score, and whether it is at least ``THRESHOLD``. One map.
+
+    A column of the documents that has the name of the result is replaced by it.
+    """
+    documents = documents.drop(result)
 
     def work(batches):
         pair = compressor(model.bad), compressor(model.good)
         for batch in slices(batches, text):
-            score = model.score(features(batch.column(text), *pair))
+            score = model.score(differences(batch.column(text), *pair))
             added = pa.StructArray.from_arrays(
                 [pa.array(score), pa.array((score >= THRESHOLD).astype(np.int32))], names=["score", "predicted"]
             )

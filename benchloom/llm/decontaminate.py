@@ -135,8 +135,9 @@ def hits(
     """The documents with one more column: ``n_words, n_hit, items, spans``.
 
     ``items`` are the different ids of items with a window in it; ``spans`` the merged runs of hit words, by the place of
-    the first and of the one after the last.
+    the first and of the one after the last. A column of the documents that has the name of the result is replaced by it.
     """
+    documents = documents.drop(result)
     places = build_blocks(benchmark, item, item_text, window)
     item_type = benchmark.schema[item].dataType.simpleString()
     arrow_item = to_arrow_type(benchmark.schema[item].dataType)

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from benchloom.llm.components import written
+from benchloom.llm.ship import spare
 from benchloom.llm.spans import PLACES, blocks, matches, piece, running_maxima, sweeps
 
 EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
@@ -194,14 +195,15 @@ def masked(text: Column, spans: Column, blocked: Column) -> Column:
 
 def redact(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents with personal data masked in ``text``; null texts stay null."""
+    owner, version, places, pieces = (spare(documents, x) for x in ("__key", "__version", "__spans", "__blocks"))
     spans = find(documents, key, text).where(F.size("spans") > 0).select(
-        F.col(key).alias("__key"), F.col("version").alias("__version"), F.col("spans").alias("__spans")
+        F.col(key).alias(owner), F.col("version").alias(version), F.col("spans").alias(places)
     )
     # Rows repeated have the same spans.
-    spans = spans.groupBy("__key", "__version").agg(F.first("__spans").alias("__spans"))
-    same = documents[key].eqNullSafe(F.col("__key")) & (F.xxhash64(documents[text]) == F.col("__version"))
-    cut = F.when(F.col("__spans").isNotNull(), blocks(documents[text]))
-    joined = documents.join(spans, same, "left").withColumn("__blocks", cut)
-    covered = masked(documents[text], F.col("__spans"), F.col("__blocks"))
-    clean = F.when(F.col("__spans").isNull(), documents[text]).otherwise(covered)
+    spans = spans.groupBy(owner, version).agg(F.first(places).alias(places))
+    same = documents[key].eqNullSafe(F.col(owner)) & (F.xxhash64(documents[text]) == F.col(version))
+    cut = F.when(F.col(places).isNotNull(), blocks(documents[text]))
+    joined = documents.join(spans, same, "left").withColumn(pieces, cut)
+    covered = masked(documents[text], F.col(places), F.col(pieces))
+    clean = F.when(F.col(places).isNull(), documents[text]).otherwise(covered)
     return joined.select(*(clean.alias(c) if c == text else documents[c] for c in documents.columns))

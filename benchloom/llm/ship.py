@@ -38,6 +38,14 @@ def kind(frame: DataFrame, column: str) -> str:
     return f"`{column}` {frame.schema[column].dataType.simpleString()}"
 
 
+def spare(frame: DataFrame, name: str) -> str:
+    """A name like ``name`` that no column of the frame has, in any case of letters."""
+    taken = {column.lower() for column in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def with_struct(frame: DataFrame, name: str, fields: dict[str, str]) -> str:
     """The schema of ``frame`` with one more column, a struct."""
     inner = ", ".join(f"{field}: {form}" for field, form in fields.items())
