@@ -1,6 +1,9 @@
 """The corpus pipeline: stages over ``documents``, each written as Parquet and read again as the next one's input.
 
-All stages but the last return the columns of documents, for the documents that they keep.
+All stages but the last return the columns of documents, for the documents that they keep, whatever further columns
+there are. A null or empty text has fewer words than the limits ask for and goes in the first stage, as do documents without
+a key whose text fails it. Rows repeated under one key with one text leave the second stage once. Texts are processed whole.
+An empty table goes through all stages and stays empty.
 """
 
 from __future__ import annotations
@@ -13,12 +16,14 @@ from pyspark.sql import functions as F
 
 from benchloom.llm import bpe, decontaminate, jaccard, personal_data, quality_rules
 from benchloom.llm.shared import new_folder
+from benchloom.llm.ship import spare
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Quality rules: documents that fail the limits or the fitted trees go."""
     rules = quality_rules.fit(docs, spark.read.parquet(f"{folder}/labels.parquet"))
-    return quality_rules.assess(docs, rules, result="__rules").where("__rules.kept").drop("__rules")
+    result = spare(docs, "rules")
+    return quality_rules.assess(docs, rules, result=result).where(F.col(result)["kept"]).drop(result)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -28,8 +33,10 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, folder: str) -> D
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Benchmark decontamination: documents of which a twentieth or more stands in benchmark items go."""
-    found = decontaminate.hits(docs, spark.read.parquet(f"{folder}/benchmark.parquet"), result="__hits")
-    return found.where(~decontaminate.contaminated(F.col("__hits.n_words"), F.col("__hits.n_hit"))).drop("__hits")
+    result = spare(docs, "hits")
+    found = decontaminate.hits(docs, spark.read.parquet(f"{folder}/benchmark.parquet"), result=result)
+    hits = F.col(result)
+    return found.where(~decontaminate.contaminated(hits["n_words"], hits["n_hit"])).drop(result)
 
 
 def personal_data_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
