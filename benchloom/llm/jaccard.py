@@ -2,10 +2,13 @@
 
 1. Documents with equal sets are one node with a number of copies.
 2. Each node has a label in each of ``TREES`` tries: the minima of its set under ``DIGITS`` hash functions, one digit
-   each. A pair of similarity s shares a prefix of d digits in some trie with probability 1 - (1 - s^d)^TREES; from the
-   whole label on, the prefix is shortened until that is at least ``RECALL`` for a pair just at the threshold. Labels are
-   sorted over the whole cluster, so that nodes with a common prefix are neighbours, however many they are; each is
-   linked to the first of its run. Components of these links are the candidates.
+   each. Labels are sorted over the whole cluster, so that the nodes below any node of a trie are neighbours, however
+   many they are. Matching starts with whole labels, and the prefix is shortened until the recall is reached, which is
+   measured: for every node as many altered copies as fit, each without another part of the shingles and so just at the
+   threshold, are looked up in all tries (``reach``). First the prefix of all nodes gets shorter until ``RECALL`` of the
+   copies of all nodes are met, and a pair at the threshold is expected to be met as often. Then each node that still
+   loses a copy of its own gets shorter prefixes, until it meets them all (``own``). Two nodes are linked if they share
+   the prefix that one of them asks for. A run of nodes is linked to its first node.
 3. Candidates are compared exactly: a component is cut by set size (sets whose sizes differ by more than a fourth can't be
    similar) and then into blocks of bounded size, and each pair of blocks is one piece of work. It yields one row for
    each node with a link: how many documents it is linked to there, and one node that it is linked with, directly or
@@ -29,21 +32,27 @@ from pyspark.sql import functions as F
 
 from benchloom.llm.columns import NOT_SPACE, U64, Words, constants, mix, rolling, slices, utf8
 from benchloom.llm.components import components, written
-from benchloom.llm.ship import arrow_map, kind
+from benchloom.llm.ship import arrow_map, kind, spare
 
 SHINGLE = 5
 THRESHOLD = 0.8
 TREES = 24
-DIGITS = 8
-DIGIT_BITS = 8
+DIGITS = 6
+DIGIT_BITS = 10
 RECALL = 0.9999
 #: Sets and shingles in a block.
 BLOCK_SETS, BLOCK_SHINGLES = 512, 1 << 18
 
 
-def depth(threshold: float, trees: int = TREES, digits: int = DIGITS, recall: float = RECALL) -> int:
-    """Digits of the prefix: all of them, shortened until a pair at the threshold is met with the wanted probability."""
-    while digits > 1 and 1 - (1 - threshold**digits) ** trees < recall:
+def expected(threshold: float, digits: int, trees: int = TREES) -> float:
+    """The probability that a pair at the threshold shares a prefix of so many digits in some trie."""
+    return 1 - (1 - threshold**digits) ** trees
+
+
+def depth(threshold: float, measured: list[float], recall: float = RECALL) -> int:
+    """Digits of the prefix; ``measured`` has the share of copies that prefixes of 1, 2, … digits meet."""
+    digits = len(measured)
+    while digits > 1 and min(expected(threshold, digits), measured[digits - 1]) < recall:
         digits -= 1
     return digits
 
@@ -76,69 +85,138 @@ def set_hashes(owner: np.ndarray, found: np.ndarray, n: int) -> tuple[np.ndarray
     return sums.view(np.int64), counts
 
 
-def sketches(documents: DataFrame, key: str, text: str, size: int, digits: int) -> DataFrame:
-    """``key, set, n, labels`` of every document."""
-    factors = constants(TREES * digits, 11)
+def labels(owner: np.ndarray, found: np.ndarray, counts: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """(label of each document in each trie, the longest prefix that each of its altered copies shares with it).
+
+    ``found`` are the hashes of all documents, by document. A copy lacks a part of them that leaves it similar; the minima
+    of a copy follow from those of the parts. -1 stands where a document has fewer copies.
+    """
+    order = np.lexsort((found, owner))  # the parts are a matter of the set alone, not of where it stands
+    found = found[order]
+    some = np.flatnonzero(counts)
+    n = counts[some]
+    heads = (np.cumsum(counts) - counts)[some]
+    copies = round(1 / (1 - threshold))
+    part = np.floor(n * (1 - threshold) + 1e-9).astype(np.int64)
+    whole = np.where(part > 0, np.minimum(n // np.maximum(part, 1), copies), 0)
+    places = np.arange(copies + 1)
+    exists = (places < whole[:, None]) | ((places == whole[:, None]) & (part * whole < n)[:, None])
+    starts = (heads[:, None] + part[:, None] * places)[exists]
+    rows, none = np.arange(len(some)), ~U64(0)
+    label, reach = np.zeros((len(counts), TREES), np.int64), np.full((len(counts), copies), -1, np.int8)
+    longest = np.zeros((len(some), copies), np.int8)
+    shift = U64(64 - DIGIT_BITS)
+    for tree, factors in enumerate(constants(TREES * DIGITS, 11).reshape(TREES, DIGITS)):
+        alive, length = np.ones(longest.shape, bool), np.zeros(longest.shape, np.int8)
+        for factor in factors:
+            least = np.full(exists.shape, none)
+            least[exists] = np.minimum.reduceat(found * factor, starts)
+            at = least.argmin(axis=1)
+            digit = mix(least[rows, at]) >> shift
+            least[rows, at] = none
+            changed = (mix(least.min(axis=1)) >> shift) != digit
+            alive &= ~((at[:, None] == places[:-1]) & changed[:, None])
+            length += alive
+            label[some, tree] = (label[some, tree] << DIGIT_BITS) | digit.astype(np.int64)
+        np.maximum(longest, length, out=longest)
+    reach[some] = np.where(places[:-1] < whole[:, None], longest, -1)
+    return label, reach
+
+
+def sketches(documents: DataFrame, key: str, text: str, size: int, threshold: float) -> DataFrame:
+    """``key, set, n, labels, reach`` of every document."""
 
     def work(batches):
         for batch in slices(batches, text):
             n = batch.num_rows
             owner, found = shingles(batch.column(text), size)
             sets, counts = set_hashes(owner, found, n)
-            some = np.flatnonzero(counts)
-            labels = np.zeros((n, TREES), np.int64)
-            if len(some):
-                heads = (np.cumsum(counts) - counts)[some]
-                for i in range(TREES * digits):
-                    least = np.minimum.reduceat(found * factors[i], heads)
-                    digit = (mix(least) >> U64(64 - DIGIT_BITS)).astype(np.int64)
-                    labels[some, i // digits] = (labels[some, i // digits] << DIGIT_BITS) | digit
-            lists = pa.ListArray.from_arrays(
-                pa.array(np.arange(n + 1, dtype=np.int32) * TREES), pa.array(labels.reshape(-1))
-            )
+            if len(found):
+                label, reach = labels(owner, found, counts, threshold)
+            else:
+                label, reach = np.zeros((n, TREES), np.int64), np.zeros((n, 0), np.int8)
+            lists = [
+                pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * x.shape[1]), pa.array(x.reshape(-1)))
+                for x in (label, reach)
+            ]
             yield pa.record_batch(
-                [batch.column(key), pa.array(sets), pa.array(counts, pa.int64()), lists],
-                names=["key", "set", "n", "labels"],
+                [batch.column(key), pa.array(sets), pa.array(counts, pa.int64()), *lists],
+                names=["key", "set", "n", "labels", "reach"],
             )
 
-    shape = f"key {documents.schema[key].dataType.simpleString()}, `set` bigint, n bigint, labels array<bigint>"
+    shape = f"key {documents.schema[key].dataType.simpleString()}, `set` bigint, n bigint, labels array<bigint>, reach array<tinyint>"
     return arrow_map(documents.select(key, text), work, shape)
 
 
-def forest_links(nodes: DataFrame) -> DataFrame:
-    """``a, b``: each node with the first of its run of equal prefixes, in each trie. Sorted over the whole cluster."""
-    labels = nodes.select("set", F.posexplode("labels").alias("tree", "label"))
-    ordered = labels.repartitionByRange("tree", "label", "set").sortWithinPartitions("tree", "label", "set")
+def measure(nodes: DataFrame, threshold: float) -> tuple[int, int]:
+    """(digits of the prefix of all nodes, the fewest that one of them needs). One row comes to the driver."""
+    met = [F.sum(F.size(F.filter("reach", lambda x, d=d: x >= d))) for d in range(DIGITS + 1)]
+    copies, *shares = nodes.agg(*met).first()
+    digits = depth(threshold, [x / copies if copies else 1.0 for x in shares])
+    least = nodes.agg(F.min("own")).first()[0]
+    return digits, digits if least is None else min(digits, least)
+
+
+#: Kinds of rows: a link in a run of the common prefix, a first or last run of a partition, a link in a run of a shorter
+#: prefix, a node that asks for it.
+LINK, EDGE, LONGER, ASKED = range(4)
+
+
+def forest_links(nodes: DataFrame, digits: int, fewest: int) -> DataFrame:
+    """``a, b``: each node with the first of its runs: of nodes that share ``digits`` digits in a trie, or fewer where one
+    of the run asks for it, ``fewest`` at least. Sorted over the whole cluster."""
+    asked = F.least("own", F.lit(digits)).alias("own")
+    tries = nodes.select("set", asked, F.posexplode("labels").alias("tree", "label"))
+    ordered = tries.repartitionByRange("tree", "label", "set").sortWithinPartitions("tree", "label", "set")
+    names = ["a", "b", "tree", "level", "prefix", "kind"]
+
+    def prefix(label, level):
+        return label >> (DIGIT_BITS * (DIGITS - level))
+
+    def rows(a, b, tree, level, prefixes, what):
+        columns = (a, b, tree, np.broadcast_to(level, len(a)), prefixes, np.broadcast_to(what, len(a)))
+        return pa.record_batch([pa.array(np.asarray(x, np.int64)) for x in columns], names=names)
 
     def runs(batches):
-        last, first = None, True
+        last, heads = None, {}
         for batch in batches:
-            node, tree, label = (batch.column(x).to_numpy() for x in ("set", "tree", "label"))
+            node, tree, label, own = (batch.column(x).to_numpy() for x in ("set", "tree", "label", "own"))
             if not len(node):
                 continue
-            new = np.concatenate(([last is None or last[:2] != (tree[0], label[0])], (tree[1:] != tree[:-1]) | (label[1:] != label[:-1])))
-            at = np.maximum.accumulate(np.where(new, np.arange(len(node)), -1))
-            head = np.where(at >= 0, node[at], 0 if last is None else last[2])
-            inner = np.flatnonzero(head != node)
-            if len(inner):
-                yield _links(head[inner], node[inner], np.zeros(len(inner), np.int64), np.zeros(len(inner), np.int64), False)
-            if first:
-                yield _links(head[:1], head[:1], tree[:1], label[:1], True)
-                first = False
-            last = (tree[-1], label[-1], head[-1])
-        if last is not None:
-            yield _links(*(np.array([x]) for x in (last[2], last[2], last[0], last[1])), True)
-
-    def _links(a, b, tree, label, edge):
-        arrays = [pa.array(x.astype(np.int64)) for x in (a, b, tree, label)]
-        return pa.record_batch([*arrays, pa.array([edge] * len(a), pa.bool_())], names=["a", "b", "tree", "label", "edge"])
-
-    found = written(arrow_map(ordered, runs, "a bigint, b bigint, tree bigint, label bigint, edge boolean"), "forest")
-    # A run that goes over the end of a partition: the first nodes of its parts, two rows for each partition at most.
-    parts = found.where("edge")
-    heads = parts.groupBy("tree", "label").agg(F.min("a").alias("head"))
-    over = parts.join(heads, ["tree", "label"]).select(F.col("head").alias("a"), "b")
-    return found.where("not edge").select("a", "b").union(over).where("a != b")
+            for level in range(digits, fewest - 1, -1):
+                part = prefix(label, level)
+                goes_on = last is not None and (last[0], prefix(last[1], level)) == (tree[0], part[0])
+                new = np.concatenate(([not goes_on], (tree[1:] != tree[:-1]) | (part[1:] != part[:-1])))
+                at = np.maximum.accumulate(np.where(new, np.arange(len(node)), -1))
+                head = np.where(at >= 0, node[at], heads.get(level, 0))
+                if level == digits:
+                    begins, inner, what = new, np.flatnonzero(head != node), LINK
+                else:  # the others of a run are linked to its first by the common prefix
+                    inner, what = np.flatnonzero(begins & (head != node)), LONGER
+                if len(inner):
+                    yield rows(head[inner], node[inner], tree[inner], level, part[inner], what)
+                if last is None:
+                    yield rows(node[:1], node[:1], tree[:1], level, part[:1], EDGE)
+                heads[level] = head[-1]
+            short = np.flatnonzero(own < digits)
+            if len(short):
+                yield rows(node[short], node[short], tree[short], own[short], prefix(label[short], own[short]), ASKED)
+            last = (tree[-1], label[-1])
+        for level, head in heads.items():
+            yield rows([head], [head], [last[0]], level, [prefix(last[1], level)], EDGE)
+
+    found = written(arrow_map(ordered, runs, ", ".join(f"{x} bigint" for x in names)), "forest")
+    # A run that goes over the end of a partition: the first nodes of its parts, two rows a level for each partition.
+    run = ["tree", "level", "prefix"]
+    edges = found.where(F.col("kind") == EDGE)
+    heads = edges.groupBy(*run).agg(F.min("a").alias("head"))
+    over = edges.join(heads, run).select(F.col("head").alias("a"), "b", *run)
+    links = found.where(F.col("kind") == LINK).select("a", "b").union(over.where(F.col("level") == digits).select("a", "b"))
+    if fewest < digits:
+        wanted = found.where(F.col("kind") == ASKED).select(*run).distinct()
+        longer = found.where(F.col("kind") == LONGER).select("a", "b", *run).union(over.where(F.col("level") < digits))
+        links = links.union(longer.join(wanted, run, "left_semi").select("a", "b"))
+    return links.where("a != b")
 
 
 def band(n: Column, threshold: float) -> Column:
@@ -277,14 +355,17 @@ def classes(
     documents: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, threshold: float = THRESHOLD
 ) -> DataFrame:
     """``key, class_id, n_links, set`` of every document; ``set`` is the hash of its shingles."""
-    digits = depth(threshold)
-    found = written(sketches(documents, key, text, size, digits), "sketches")
+    found = written(sketches(documents, key, text, size, threshold), "sketches")
     nodes = found.where("n > 0").groupBy("set").agg(
-        F.min("key").alias("key"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("labels").alias("labels")
+        F.min("key").alias("key"),
+        F.count("*").alias("copies"),
+        *(F.first(x).alias(x) for x in ("n", "labels", "reach")),
     )
-    nodes = written(nodes, "nodes")
-    clusters = components(forest_links(nodes))
-    links = written(similar(documents, nodes.drop("labels"), clusters, key, text, size, threshold), "links")
+    met = F.filter("reach", lambda x: x >= 0)
+    own = F.greatest(F.coalesce(F.array_min(met).cast("int"), F.lit(DIGITS)), F.lit(1))
+    nodes = written(nodes.withColumn("own", own), "nodes")
+    clusters = components(forest_links(nodes, *measure(nodes, threshold)))
+    links = written(similar(documents, nodes.drop("labels", "reach", "own"), clusters, key, text, size, threshold), "links")
     joined = components(links.select(F.col("node").alias("a"), F.col("other").alias("b")))
     totals = links.groupBy(F.col("node").alias("set")).agg(F.sum("links").alias("links"))
     info = (
@@ -306,9 +387,11 @@ def classes(
 def one_of_each(
     documents: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, threshold: float = THRESHOLD
 ) -> DataFrame:
-    """The documents without those of which a similar one with a smaller key stays; of equal rows one stays."""
+    """The documents without those of which a similar one with a smaller key stays; of rows with equal key and text one
+    stays. Different texts under one key stay or go together: the key stays if one of them is the first of its class."""
+    owner, row = spare(documents, "__key"), spare(documents, "__row")
     stay = classes(documents, key, text, size, threshold).where(F.col(key).eqNullSafe(F.col("class_id")))
-    stay = stay.select(F.col(key).alias("__key")).distinct()
-    kept = documents.join(stay, documents[key].eqNullSafe(F.col("__key")), "left_semi")
+    stay = stay.select(F.col(key).alias(owner)).distinct()
+    kept = documents.join(stay, documents[key].eqNullSafe(F.col(owner)), "left_semi")
     same = Window.partitionBy(key, F.xxhash64(text)).orderBy(F.lit(0))
-    return kept.withColumn("__row", F.row_number().over(same)).where("__row = 1").drop("__row")
+    return kept.withColumn(row, F.row_number().over(same)).where(F.col(row) == 1).drop(row)

@@ -119,9 +119,57 @@ def test_one_of_each(spark):
 
 
 def test_depth_meets_the_recall():
-    d = jaccard.depth(0.8)
-    assert 1 - (1 - 0.8**d) ** jaccard.TREES >= jaccard.RECALL > 1 - (1 - 0.8 ** (d + 1)) ** jaccard.TREES
-    assert jaccard.depth(0.95) > d
+    perfect = [1.0] * jaccard.DIGITS
+    d = jaccard.depth(0.8, perfect)
+    assert jaccard.expected(0.8, d) >= jaccard.RECALL > jaccard.expected(0.8, d + 1)
+    assert jaccard.depth(0.95, perfect) > d
+    assert jaccard.depth(0.95, [1.0, 1.0, 0.999, 0.99, 0.9, 0.9]) == 2
+
+
+def test_copies_are_looked_up_as_texts_are():
+    # The prefix that a copy shares is the one of the labels that it gets as a set of its own.
+    draw = np.random.default_rng(4)
+    sets = [np.sort(draw.integers(0, 2**63, n).astype(np.uint64)) for n in (1, 4, 5, 7, 10, 83, 400)]
+    counts = np.array([len(x) for x in sets])
+    label, reach = jaccard.labels(np.repeat(np.arange(len(sets)), counts), np.concatenate(sets), counts, 0.8)
+    for row, hashes in enumerate(sets):
+        part = len(hashes) // 5
+        copies = min(len(hashes) // part, 5) if part else 0
+        assert (reach[row, copies:] == -1).all()
+        for c in range(copies):
+            copy = np.delete(hashes, np.arange(c * part, (c + 1) * part))
+            other = jaccard.labels(np.zeros(len(copy), int), copy, np.array([len(copy)]), 0.8)[0][0]
+            shared = [
+                sum(x >> s == y >> s for s in range(0, 10 * jaccard.DIGITS, 10)) for x, y in zip(label[row].tolist(), other.tolist())
+            ]
+            assert reach[row, c] == max(shared)
+
+
+@pytest.mark.parametrize("recall", [jaccard.RECALL, 0.5])
+def test_recall_of_pairs_at_the_threshold(spark, monkeypatch, recall):
+    # 1,200 pairs of similarity 0.8: 80 of 100 shingles. A weaker target leaves longer prefixes, and loses some.
+    monkeypatch.setattr(jaccard, "RECALL", recall)
+    monkeypatch.setattr(jaccard.depth, "__defaults__", (recall,))
+    pairs = [[f"p{i}w{j}" for j in range(104)] for i in range(1200)]
+    rows = [(2 * i, " ".join(x)) for i, x in enumerate(pairs)] + [(2 * i + 1, " ".join(x[:84])) for i, x in enumerate(pairs)]
+    got = jaccard.classes(brute.documents(spark, rows)).where("n_links = 1 and class_id = 2 * floor(doc_id / 2)").count() / 2
+    assert got == 1200 if recall > 0.9 else 1000 < got <= 1200
+
+
+@pytest.mark.parametrize("partitions", [1, 13])
+def test_nodes_that_ask_for_shorter_prefixes(spark, partitions):
+    # Node 1 asks for one digit: all that share its first digit are linked; the others only by the whole label.
+    bits = jaccard.DIGIT_BITS * (jaccard.DIGITS - 1)
+    rows = [(i, [(i % 3 << bits) + i // 2 * 2], 1 if i == 1 else jaccard.DIGITS) for i in range(60)]
+    nodes = spark.createDataFrame(rows, "`set` bigint, labels array<bigint>, own int")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        links = jaccard.forest_links(nodes, jaccard.DIGITS, 1)
+        got = {r.node: r.root for r in components(links).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got == {i: 1 for i in range(60) if i % 3 == 1}
 
 
 def test_jaccard_of_nothing(spark):
