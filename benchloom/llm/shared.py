@@ -13,12 +13,18 @@ import re
 import tempfile
 import uuid
 from functools import lru_cache
-from urllib.parse import unquote, urlparse
 
 import numpy as np
 from pyspark.sql import SparkSession
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with the scheme and authority that Spark would resolve it by: without a scheme it lies in the default
+    file system, whose files workers must not look for on their own disks."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``; a scratch one only for a session on one machine."""
     context = spark.sparkContext
@@ -26,7 +32,8 @@ def shared_folder(spark: SparkSession) -> str:
     if not folder:
         if not re.match(r"local(\[|$)", context.master):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="benchloom-shared-")
+        folder = "file://" + tempfile.mkdtemp(prefix="benchloom-shared-")
+    folder = qualified(spark, folder)
     if not context.getCheckpointDir():
         context.setCheckpointDir(folder)
     return folder.rstrip("/")
@@ -38,8 +45,10 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 
 def _path(uri: str) -> str | None:
-    parts = urlparse(uri)
-    return unquote(parts.path) if parts.scheme in ("", "file") else None
+    """The path of a mounted file. As in Spark's own paths, nothing in it is percent-encoded."""
+    if uri.startswith("file:"):
+        return "/" + uri.removeprefix("file:").lstrip("/")
+    return uri if "://" not in uri else None
 
 
 def write_file(uri: str, *arrays: np.ndarray) -> None:
