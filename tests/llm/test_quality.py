@@ -112,8 +112,8 @@ def test_compression_score_against_plain_calls(spark):
 def test_long_texts_leave_room_for_short_ones(spark, monkeypatch):
     # More long labelled texts than the sample holds, copies of a key, labels of unknown keys and repeated labels.
     rows = corpus(200)
-    long = [(5000 + i, "river stones " * 40 + str(i)) for i in range(300)]
-    monkeypatch.setattr(compression, "LONGEST", 450)
+    long = [(5000 + i, "river stones " * 80 + str(i)) for i in range(300)]
+    monkeypatch.setattr(compression, "LONGEST", 700)
     monkeypatch.setattr(compression, "MOST_TEXTS", 60)
     documents = brute.documents(spark, rows + long + [(1001, "of another text under the same key")] * 50)
     marks = labels(spark, rows + long + [(9000 + i, None) for i in range(300)] + [(1002, None)] * 80)
