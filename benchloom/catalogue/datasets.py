@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from benchloom.catalogue.base import ORACLE_DIR, register, table
-from benchloom.operators import conform, inventory
+from benchloom.operators import conform, inventory, keysets
 from benchloom.plans.completion import complete_table, derive_partsupp
 from benchloom.schemas import benchmark, expected_columns
 from benchloom.session import ensure_checkpoint_dir
@@ -538,6 +538,55 @@ def _(spark, folder):
     return conform.fk_orphans(tables, ORPHAN_KEYS)
 
 
+# Keys of the given tables, by table, as names and expressions.
+GIVEN_KEYS = {
+    "customer": {"c_custkey": "c_custkey"},
+    "supplier": {"s_suppkey": "s_suppkey"},
+    "part": {"p_partkey": "p_partkey"},
+    "orders": {"o_orderkey": "o_orderkey", "o_custkey": "o_custkey"},
+    "lineitem": {
+        "l_orderkey": "l_orderkey", "l_partkey": "l_partkey", "l_suppkey": "l_suppkey",
+        "l_orderkey,l_linenumber": "l_orderkey * 8 + l_linenumber",
+    },
+    "documents": {"doc_id": "doc_id"},
+    "labels": {"doc_id": "doc_id"},
+    "events": {"event_id": "event_id", "user_id": "user_id"},
+    "pages": {"page_id": "page_id"},
+}
+GIVEN_LINKS = tuple(
+    link for link in ORPHAN_KEYS if link[1] in GIVEN_KEYS.get(link[0], {}) and link[3] in GIVEN_KEYS.get(link[2], {})
+)
+
+
+@register(
+    "key_bitmaps",
+    "table:s key:s rows:i null_rows:i distinct_keys:i duplicate_rows:i",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS \"table\", '{key}' AS key, count(*) AS rows, count(*) - count({expr}) AS null_rows, "
+        f"count(DISTINCT {expr}) AS distinct_keys, count({expr}) - count(DISTINCT {expr}) AS duplicate_rows FROM {name}"
+        for name, keys in GIVEN_KEYS.items()
+        for key, expr in keys.items()
+    ),
+)
+def _(spark, folder):
+    return keysets.key_facts(keysets.table_key_sets({name: table(spark, folder, name) for name in GIVEN_KEYS}, GIVEN_KEYS))
+
+
+@register(
+    "key_bitmap_orphans",
+    "child:s child_column:s parent:s orphan_keys:i",
+    " UNION ALL ".join(
+        f"SELECT '{child}' AS child, '{column}' AS child_column, '{parent}' AS parent, count(DISTINCT {column}) AS orphan_keys "
+        f"FROM {child} WHERE {column} NOT IN (SELECT {key} FROM {parent} WHERE {key} IS NOT NULL)"
+        for child, column, parent, key in GIVEN_LINKS
+    ),
+)
+def _(spark, folder):
+    # Foreign keys of the given tables lie anywhere, so they are dealt by range first.
+    sets = keysets.table_key_sets({name: table(spark, folder, name) for name in GIVEN_KEYS}, GIVEN_KEYS, scattered=True)
+    return keysets.orphan_keys(sets, GIVEN_LINKS)
+
+
 @register(
     "report_complete",
     "table:s gap:s",

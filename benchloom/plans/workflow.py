@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from benchloom.functions.text import redact_text, uri_problem
-from benchloom.operators import conform, inventory, outcome, verify
+from benchloom.operators import conform, inventory, keysets, outcome, verify
 from benchloom.schemas import benchmark, table_schema
 from benchloom.session import constant_rows, ensure_checkpoint_dir
 from benchloom.sinks import publish
@@ -479,10 +479,12 @@ def verify_load(
     sample: bool = False,
     require_complete: bool = False,
     allow_local: bool = False,
+    keys: bool = False,
 ) -> DataFrame:
     """Findings about a published load, from its saved report: ``(check, table, subject, expected, actual)``.
 
-    An empty result means the load is intact. Nothing is changed.
+    An empty result means the load is intact. Nothing is changed. ``keys`` looks for repeated primary keys and rows without
+    a parent in a complete TPC-H load; other loads have no key rules and refuse it.
     """
     reports = verify.read_reports(spark, report, lines=True)
     if not reports.join(verify.rejected_reports(reports), "run_id", "left_semi").isEmpty():
@@ -499,6 +501,8 @@ def verify_load(
     names = [r["table"] for r in succeeded.select("table").distinct().collect()]  # at most 24
     if not names:
         raise ValueError("the report has no table to verify")
+    if keys and (bench != "tpch" or set(names) != set(benchmark(bench))):
+        raise ValueError("keys can be checked for a complete load of tpch only")
     require_durable(spark, root, allow_local)
     there = set(publish.existing_tables(spark, namespace, names))
 
@@ -583,6 +587,8 @@ def verify_load(
         checks.append(
             conform.violation(scanned, "sample", F.col("table"), F.col("table"), F.col("rows"), F.col("sampled"))
         )
+    if keys:
+        checks.append(keysets.tpch_key_violations({name: spark.table(f"{namespace}.{name}") for name in names}))
     # As seen now, in one job: the checks of a union run side by side, and a later look at it reads nothing again.
     return reduce(DataFrame.unionByName, checks).checkpoint()
 
