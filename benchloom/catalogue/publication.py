@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -20,6 +21,7 @@ from benchloom.catalogue.datasets import (
 )
 from benchloom.functions.sizes import content_md5
 from benchloom.operators import inventory, outcome, verify
+from benchloom.session import ensure_checkpoint_dir
 from benchloom.sinks.publish import manifest_rows
 from benchloom.sources import files, scan
 
@@ -292,12 +294,12 @@ def _(spark, folder):
 # --- verification ---------------------------------------------------------------------------------
 
 
-def reports(spark, folder) -> DataFrame:
-    """Run reports as JSON text, a table's files cut into lines of bounded length, read back with the schema."""
+def report_lines(spark, folder, *further) -> DataFrame:
+    """Run reports as JSON text ``value``, a table's files cut into lines of bounded length."""
     found = derived.run_files(spark, folder)
     n = F.count("*").over(Window.partitionBy("run_id", "table"))
     line = F.pmod(F.xxhash64("uri", "row_count", "size_bytes"), F.greatest(F.lit(1), F.ceil(n / 1000)))
-    file = F.struct("row_count", "size_bytes", F.col("uri").alias("remote_uri"), "state")
+    file = F.struct("row_count", "size_bytes", F.col("uri").alias("remote_uri"), "state", *further)
     lines = (
         found.withColumn("line", line)
         .groupBy("run_id", "table", "status", "line")
@@ -312,7 +314,12 @@ def reports(spark, folder) -> DataFrame:
             F.create_map("table", F.struct("status", "files")).alias("tables"),
         )
     )
-    return lines.select(F.from_json(document, verify.REPORT).alias("r")).select("r.*")
+    return lines.select(document.alias("value"))
+
+
+def reports(spark, folder) -> DataFrame:
+    """The same reports read with the fixed schema."""
+    return report_lines(spark, folder).select(F.from_json("value", verify.REPORT).alias("r")).select("r.*")
 
 
 SUCCEEDED_SQL = f"SELECT * FROM ({derived.RUN_FILES_SQL}) AS f WHERE status = 'succeeded'"
@@ -329,6 +336,24 @@ def _(spark, folder):
     return found.withColumn("uri", F.coalesce("uri", F.lit("-")))
 
 
+@register(
+    "report_variants",
+    "run_id:s table:s uri:s row_count:i size_bytes:i state:s origin:s",
+    f"""SELECT run_id, tbl AS "table", coalesce(uri, '-') AS uri, row_count, size_bytes, state,
+               run_id || '/' || state AS origin
+        FROM ({SUCCEEDED_SQL}) AS f""",
+)
+def _(spark, folder):
+    # Reports saved as files and read back as variants, with a field that the fixed schema does not know.
+    saved = f"{ensure_checkpoint_dir(spark)}/reports-{uuid.uuid4().hex}"
+    origin = F.concat_ws("/", "run_id", "state").alias("origin")
+    report_lines(spark, folder, origin).write.text(saved)
+    found = verify.variant_files(verify.variant_tables(verify.read_variants(spark, saved, lines=True)))
+    return found.withColumn("uri", F.coalesce("uri", F.lit("-"))).withColumn(
+        "origin", F.try_variant_get("entry", "$.origin", "string")
+    )
+
+
 @register(
     "report_file_problems",
     "run_id:s table:s uri:s problem:s",

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 REPORT_VERSION = 1
 FILE = (
@@ -24,7 +25,13 @@ REPORT = (
     "started_at string, updated_at string, finished_at string, "
     "generator struct<implementation:string,version:string,source_row_counts:map<string,bigint>>, "
     f"tables map<string,struct<{TABLE}>>, "
-    "probes array<struct<uri:string,state:string,cleanup_error:string>>, warnings array<string>, errors array<string>"
+    "probes array<struct<uri:string,state:string,cleanup_error:string>>, warnings array<string>, errors array<string>, "
+    "summary struct<succeeded:array<string>,skipped:array<string>,failed:array<string>,uncertain:array<string>,"
+    "not_loaded:array<string>,tables_requiring_inspection:array<struct<table:string,identifier:array<string>,"
+    "creation_state:string,status:string>>,generated_rows:bigint,generated_bytes:bigint,"
+    "unregistered_uploads:array<struct<table:string,uri:string,state:string>>,"
+    "uncertain_uploads:array<struct<table:string,uri:string,state:string>>,"
+    "probe_cleanup_candidates:array<struct<uri:string,state:string,cleanup_error:string>>>"
 )
 
 
@@ -33,6 +40,55 @@ def read_reports(spark: SparkSession, *paths: str, lines: bool = False) -> DataF
     return spark.read.schema(REPORT).json(list(paths), multiLine=not lines)
 
 
+def read_variants(spark: SparkSession, *paths: str, lines: bool = False) -> DataFrame:
+    """Saved reports of any shape, one variant ``report`` each: fields that the fixed schema does not know stay."""
+    return spark.read.option("singleVariantColumn", "report").json(list(paths), multiLine=not lines)
+
+
+def variant_tables(reports: DataFrame) -> DataFrame:
+    """One row per run and table, ``(run_id, benchmark, table, status, facts)``; a value of another type is null."""
+    spark = reports.sparkSession
+    known = reports.select(
+        F.try_variant_get("report", "$.run_id", "string").alias("run_id"),
+        F.try_variant_get("report", "$.benchmark", "string").alias("benchmark"),
+        F.try_variant_get("report", "$.tables", "variant").alias("all"),
+    )
+    return known.lateralJoin(spark.tvf.variant_explode(F.col("all").outer())).select(
+        "run_id",
+        "benchmark",
+        F.col("key").alias("table"),
+        F.try_variant_get("value", "$.status", "string").alias("status"),
+        F.col("value").alias("facts"),
+    )
+
+
+def variant_files(tables: DataFrame) -> DataFrame:
+    """One row per file of the succeeded tables, as :func:`report_files`, with the file's whole ``entry`` behind."""
+    spark = tables.sparkSession
+    listed = tables.where("status = 'succeeded'").select(
+        "run_id", "table", F.try_variant_get("facts", "$.files", "variant").alias("all")
+    )
+    picked = [
+        F.try_variant_get("value", f"$.{name}", kind).alias(alias)
+        for name, kind, alias in (
+            ("remote_uri", "string", "uri"), ("row_count", "bigint", "row_count"), ("size_bytes", "bigint", "size_bytes"),
+            ("state", "string", "state"), ("md5", "string", "md5"), ("sha256", "string", "sha256"),
+        )
+    ]
+    found = listed.lateralJoin(spark.tvf.variant_explode(F.col("all").outer()))
+    return found.select("run_id", "table", *picked, F.col("value").alias("entry"))
+
+
+def unknown_fields(tables: DataFrame) -> DataFrame:
+    """Fields of tables that the fixed schema would lose: ``(run_id, table, field, type)``."""
+    spark = tables.sparkSession
+    known = T.StructType.fromDDL(REPORT)["tables"].dataType.valueType.names
+    fields = tables.lateralJoin(spark.tvf.variant_explode(F.col("facts").outer()))
+    return fields.where(~F.col("key").isin(known)).select(
+        "run_id", "table", F.col("key").alias("field"), F.schema_of_variant("value").alias("type")
+    )
+
+
 def rejected_reports(reports: DataFrame) -> DataFrame:
     """Reports that cannot be verified: wrong format version or not a load."""
     fine = F.col("report_format_version").eqNullSafe(F.lit(REPORT_VERSION)) & F.col("command").eqNullSafe(F.lit("load"))

@@ -7,11 +7,13 @@ cluster.
 
 from __future__ import annotations
 
+import json
 import threading
 import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
+from datetime import UTC, datetime
 from decimal import Decimal
 from functools import reduce
 
@@ -69,6 +71,13 @@ class Load:
     errors: dict[str, str] = field(default_factory=dict)
     warnings: list[str] = field(default_factory=list)
     sources: DataFrame | None = None
+    schemas: dict[str, StructType] = field(default_factory=dict)
+    snapshot_id: int | None = None
+    started_at: str | None = None
+
+
+def timestamp() -> str:
+    return datetime.now(UTC).isoformat(timespec="seconds")
 
 
 def generator(spark: SparkSession, bench: str, sf, parts: int | None = None) -> dict[str, DataFrame]:
@@ -198,7 +207,7 @@ def load(
     """
     if on_exists not in ("error", "skip"):
         raise ValueError("on_exists is 'error' or 'skip'")
-    run_id, namespace = run_id or uuid.uuid4().hex, publish.namespace_name(namespace)
+    run_id, namespace, started_at = run_id or uuid.uuid4().hex, publish.namespace_name(namespace), timestamp()
     require_durable(spark, f"{location.rstrip('/')}/{run_id}", allow_local)
     names = list(benchmark(bench))
     present = publish.existing_tables(spark, namespace, names)
@@ -206,12 +215,14 @@ def load(
         raise publish.TablesExist(f"tables exist already: {', '.join(present)}")
     if len(present) == len(names):
         rows = [(run_id, name, "skipped", None, 0, 0, 0, None) for name in names]
-        return Load(run_id, namespace, None, constant_rows(spark, TABLE_ROW, rows), None, present)
+        return Load(run_id, namespace, None, constant_rows(spark, TABLE_ROW, rows), None, present, started_at=started_at)
 
     root = f"{location.rstrip('/')}/{run_id}"
     record(spark, root, run_id, 0, {name: "skipped" if name in present else "generating" for name in names}, present)
     dataset = generate(spark, bench, sf, root, parts, workers)
-    return _publish(spark, dataset, namespace, run_id, present, checksum, workers)
+    result = _publish(spark, dataset, namespace, run_id, present, checksum, workers)
+    result.started_at = started_at
+    return result
 
 
 def file_schemas(parts: DataFrame) -> dict[str, StructType]:
@@ -314,7 +325,8 @@ def _publish(
     ready = [name for name in created if name not in unstable]
 
     attempt = dataset.parts.where(F.col("table").isin(ready))
-    rows = publish.manifest_rows(attempt, digests, run_id, publish.new_snapshot())
+    snapshot_id = publish.new_snapshot()
+    rows = publish.manifest_rows(attempt, digests, run_id, snapshot_id)
     record(spark, dataset.root, run_id, 2, {n: "committing" if n in ready else "failed" for n in active})
     # Each table on its own: one that fails does not take the others along. Whether a commit whose answer is an
     # error arrived is read back below, never assumed.
@@ -364,7 +376,9 @@ def _publish(
     file_rows = states.join(recorded, "uri", "left").withColumn("run_id", F.lit(run_id))
     tables = constant_rows(spark, TABLE_ROW, table_rows)
     record(spark, dataset.root, run_id, 3, {row[1]: row[2] for row in table_rows})
-    return Load(run_id, namespace, dataset.root, tables, file_rows, skipped, errors, warnings, dataset.sources)
+    return Load(
+        run_id, namespace, dataset.root, tables, file_rows, skipped, errors, warnings, dataset.sources, schemas, snapshot_id
+    )
 
 
 def masked(error: Exception) -> str:
@@ -397,19 +411,50 @@ def require_loaded(result: Load) -> Load:
 # --- report ---------------------------------------------------------------------------------------
 
 
+RUN_SUMMARY = (
+    "succeeded array<string>, skipped array<string>, failed array<string>, uncertain array<string>, "
+    "not_loaded array<string>, tables_requiring_inspection array<struct<table: string, identifier: array<string>, "
+    "creation_state: string, status: string>>, generated_rows bigint, generated_bytes bigint"
+)
+
+
+def run_summary(namespace: str, tables: list) -> dict:
+    """What a report says of all tables of a run, at most 24: names by status, those to look at, and totals."""
+    lists = {name: [] for name in (*outcome.FINAL_STATUSES, "not_loaded")}
+    for r in tables:
+        lists[r["status"] if r["status"] in lists else "not_loaded"].append(r["table"])
+    open_tables = [
+        {"table": r["table"], "identifier": [namespace, r["table"]], "creation_state": r["table_creation_state"], "status": r["status"]}
+        for r in tables
+        if r["table_creation_state"] and r["status"] not in ("succeeded", "skipped")
+    ]
+    totals = {f"generated_{name}": sum(r[column] or 0 for r in tables) for name, column in (("rows", "row_count"), ("bytes", "size_bytes"))}
+    return lists | {"tables_requiring_inspection": open_tables} | totals
+
+
 def write_report(result: Load, bench: str, sf, path: str) -> None:
     """Save a load as report lines.
 
     Each line is a report of its own with one table and at most ``FILES_PER_LINE`` of its files, so the
-    writing is spread and nothing grows with the number of files in one place.
+    writing is spread and nothing grows with the number of files in one place. The summary of a line has the tables of the
+    whole run, and of files that are not registered those of the line.
     """
     spark = result.tables.sparkSession
+    known_tables = result.tables.collect()  # 8 or 24
     none = F.lit(None).cast("array<struct<local_path: string, row_count: bigint, size_bytes: bigint, remote_uri: string, state: string, md5: string>>")
     tables = result.tables
     if result.sources is not None:
         tables = tables.join(result.sources.select("table", "content"), "table", "left")
     else:
         tables = tables.withColumn("content", F.lit(None).cast("string"))
+    shape = "array<struct<name: string, type: string, nullable: boolean>>"
+    shapes = [
+        (name, json.dumps([{"name": f.name, "type": f.dataType.simpleString(), "nullable": f.nullable} for f in schema.fields]))
+        for name, schema in result.schemas.items()
+    ]
+    tables = tables.join(constant_rows(spark, "table string, shape string", shapes), "table", "left").withColumn(
+        "shape", F.from_json("shape", shape)
+    )
     bare = tables.withColumn("files", none)
     if result.files is not None:
         file = F.struct(
@@ -437,13 +482,30 @@ def write_report(result: Load, bench: str, sf, path: str) -> None:
         F.array(F.lit(result.namespace), "table").alias("table_identifier"),
         "table_uuid",
         "table_creation_state",
+        F.when(F.col("status") == "succeeded", F.lit(result.snapshot_id).cast("bigint")).alias("snapshot_id"),
         "row_count",
         "size_bytes",
         "file_count",
         "content",
+        F.col("shape").alias("schema"),
         "files",
     )
-    failed = not result.tables.where("status not in ('succeeded', 'skipped')").isEmpty()
+    run = F.from_json(F.lit(json.dumps(run_summary(result.namespace, known_tables))), RUN_SUMMARY)
+
+    def uploads(kind):
+        chosen = F.filter(F.coalesce("files", F.array()), lambda f: f["remote_uri"].isNotNull() & kind(f["state"]))
+        return F.transform(
+            chosen, lambda f: F.struct(F.col("table").alias("table"), f["remote_uri"].alias("uri"), f["state"].alias("state"))
+        )
+
+    summary = F.struct(
+        *(run[name].alias(name) for name in StructType.fromDDL(RUN_SUMMARY).names),
+        uploads(lambda state: ~state.isin("registered", "local", "commit_unknown")).alias("unregistered_uploads"),
+        uploads(lambda state: state == "commit_unknown").alias("uncertain_uploads"),
+        F.array().alias("probe_cleanup_candidates"),  # files are written once, without probes
+    )
+    finished_at = F.lit(timestamp())
+    failed = any(r["status"] not in ("succeeded", "skipped") for r in known_tables)
     counts = F.lit(None).cast("map<string, bigint>")
     if result.sources is not None:
         found = [x for r in result.sources.collect() for x in (F.lit(r["table"]), F.lit(r["rows"]))]  # 24 tables
@@ -456,13 +518,16 @@ def write_report(result: Load, bench: str, sf, path: str) -> None:
         F.lit(str(sf)).alias("scale_factor"),
         F.array(F.lit(result.namespace)).alias("namespace"),
         F.lit("failed" if failed else "succeeded").alias("status"),
-        F.current_timestamp().cast("string").alias("finished_at"),
+        F.lit(result.started_at).cast("string").alias("started_at"),
+        finished_at.alias("updated_at"),
+        finished_at.alias("finished_at"),
         F.struct(
             F.lit("benchloom").alias("implementation"), F.lit("1").alias("version"), counts.alias("source_row_counts")
         ).alias("generator"),
         F.array(*map(F.lit, result.warnings)).cast("array<string>").alias("warnings"),
         F.array(*(F.lit(f"{name}: {text}") for name, text in sorted(result.errors.items()))).cast("array<string>").alias("errors"),
         F.create_map("table", row).alias("tables"),
+        summary.alias("summary"),
     )
     bare.select(F.to_json(document).alias("value")).write.mode("errorifexists").text(path)
 

@@ -1,5 +1,7 @@
 """Generate, load and verify as a user runs them, with the failures a run can meet."""
 
+from dataclasses import replace
+
 import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import AnalysisException
@@ -7,6 +9,7 @@ from pyspark.sql import functions as F
 
 from benchloom.operators import outcome, verify
 from benchloom.plans import workflow
+from benchloom.schemas import benchmark
 from benchloom.sinks import publish
 from benchloom.sources import files
 
@@ -55,6 +58,67 @@ def test_report_round_trip(spark, loaded):
     assert verify.report_file_problems(listed).isEmpty()
 
 
+def test_report_is_complete(spark, loaded):
+    result, folder = loaded
+    lines = verify.read_reports(spark, f"{folder}/report", lines=True)
+    for line in lines.collect():
+        assert line.started_at <= line.updated_at == line.finished_at and line.status == "succeeded"
+        ((name, facts),) = line.tables.items()
+        assert [c.name for c in facts.schema] == spark.table(f"bench_one.{name}").columns
+        assert facts.snapshot_id == result.snapshot_id and facts.content
+        summary = line.summary.asDict(recursive=True)
+        assert sorted(summary.pop("succeeded")) == sorted(benchmark("tpch"))
+        totals = result.tables.agg(F.sum("row_count").alias("rows"), F.sum("size_bytes").alias("size")).first()
+        assert (summary.pop("generated_rows"), summary.pop("generated_bytes")) == tuple(totals)
+        assert set(map(str, summary.values())) == {"[]"}
+
+
+def test_summary_of_open_tables(spark, loaded, tmp_path):
+    result, _ = loaded
+    failing = replace(
+        result,
+        tables=result.tables.withColumn("status", F.expr("case table when 'part' then 'uncertain' when 'region' then 'x' else status end")),
+        files=result.files.withColumn("state", F.when(F.col("table") == "part", "commit_unknown").otherwise("uploaded")),
+    )
+    workflow.write_report(failing, "tpch", SF, str(tmp_path / "r"))
+    lines = verify.read_reports(spark, str(tmp_path / "r"), lines=True).collect()
+    for line in lines:
+        (name,) = line.tables
+        s = line.summary
+        assert line.status == "failed" and s.uncertain == ["part"] and s.not_loaded == ["region"] and len(s.succeeded) == 6
+        assert sorted((t.table, t.status) for t in s.tables_requiring_inspection) == [("part", "uncertain"), ("region", "x")]
+        listed = s.uncertain_uploads if name == "part" else s.unregistered_uploads
+        other = s.unregistered_uploads if name == "part" else s.uncertain_uploads
+        assert {f.table for f in listed} == {name} and other == []
+        assert (line.tables[name].snapshot_id is None) == (name in ("part", "region"))
+
+
+def test_variants_keep_unknown_fields(spark, loaded, tmp_path):
+    _, folder = loaded
+    ours = verify.variant_tables(verify.read_variants(spark, f"{folder}/report", lines=True))
+    fixed = verify.report_files(verify.report_tables(verify.read_reports(spark, f"{folder}/report", lines=True)))
+    columns = ["run_id", "table", "uri", "row_count", "size_bytes", "state", "md5"]
+    assert verify.variant_files(ours).select(columns).exceptAll(fixed.select(columns)).isEmpty()
+    assert verify.variant_files(ours).count() == fixed.count() and verify.unknown_fields(ours).isEmpty()
+    (tmp_path / "r.json").write_text(
+        '{"run_id": "r", "tables": {"a": {"status": "succeeded", "owner": {"id": 7},\n'
+        ' "files": [{"remote_uri": "s3://b/a", "row_count": "many", "zone": "x"}]}, "b": {"status": "failed", "files": 3}}}'
+    )
+    (tmp_path / "none.json").write_text('{"run_id": "none"}')
+    nested = verify.variant_tables(verify.read_variants(spark, str(tmp_path)))
+    assert sorted((r.table, r.status) for r in nested.collect()) == [("a", "succeeded"), ("b", "failed")]
+    (file,) = verify.variant_files(nested).collect()
+    assert file.uri == "s3://b/a" and file.row_count is None and "zone" in str(file.entry.toPython())
+    assert [tuple(r) for r in verify.unknown_fields(nested).collect()] == [("r", "a", "owner", "OBJECT<id: BIGINT>")]
+
+
+def test_key_checks(spark, loaded):
+    _, folder = loaded
+    found = workflow.verify_load(spark, f"{folder}/report", f"{folder}/run1", allow_local=True, keys=True).collect()
+    # Ten suppliers are too few for different offers of every part; nothing else is found.
+    assert [(r.check, r.table) for r in found] == [("duplicate_key", "partsupp")]
+
+
 def test_nested_report(spark, tmp_path):
     """One document with all tables, as other writers save it."""
     (tmp_path / "r.json").write_text(
