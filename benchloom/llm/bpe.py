@@ -96,3 +96,25 @@ def decode(encoded: DataFrame, ranks: str, pattern: str, key: str = "doc_id", id
 
     shape = f"{kind(encoded, key)}, n_tokens bigint, ids binary, decoded binary"
     return arrow_map(encoded.select(key, ids), work, shape)
+
+
+def round_trip(documents: DataFrame, ranks: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key, n_tokens, ids, decoded`` as :func:`decode` of :func:`encode` gives them, in one map: one encoding in each worker."""
+
+    def work(batches):
+        encoder = encoding(ranks, pattern)
+        for batch in slices(batches, text):
+            ids = [token_ids(value or "", encoder) for value in batch.column(text).to_pylist()]
+            decoded = [encoder.decode_bytes(np.frombuffer(x, "<u4").tolist()) for x in ids]
+            yield pa.record_batch(
+                [
+                    batch.column(key),
+                    pa.array([len(x) // 4 for x in ids], pa.int64()),
+                    pa.array(ids, pa.binary()),
+                    pa.array(decoded, pa.binary()),
+                ],
+                names=[key, "n_tokens", "ids", "decoded"],
+            )
+
+    shape = f"{kind(documents, key)}, n_tokens bigint, ids binary, decoded binary"
+    return arrow_map(documents.select(key, text), work, shape)

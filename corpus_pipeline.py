@@ -50,8 +50,7 @@ def personal_data_stage(spark: SparkSession, docs: DataFrame, folder: str) -> Da
 def token_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Byte-level BPE: the ids of each text, and a hash of what they decode to."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    decoded = bpe.decode(bpe.encode(docs, *ranks), *ranks)
-    return decoded.select("doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+    return bpe.round_trip(docs, *ranks).select("doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

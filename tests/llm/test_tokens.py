@@ -36,6 +36,7 @@ def test_encode_and_decode(spark):
     encoder = bpe.encoding(*RANKS)
     assert isinstance(encoder, tiktoken.Encoding)
     got = bpe.decode(bpe.encode(brute.documents(spark), *RANKS), *RANKS).collect()
+    assert sorted(bpe.round_trip(brute.documents(spark), *RANKS).collect(), key=str) == sorted(got, key=str)
     wanted = sorted((str(k), encoder.encode_ordinary(t or ""), (t or "").encode()) for k, t in brute.ROWS)
     assert sorted((str(r.doc_id), np.frombuffer(r.ids, "<u4").tolist(), bytes(r.decoded)) for r in got) == wanted
     assert all(r.n_tokens == len(r.ids) // 4 for r in got)
