@@ -31,6 +31,27 @@ def test_unknown_kind_is_an_error(spark):
         df.select(conform.kind_matches(F.col("type"), F.col("kind"))).collect()
 
 
+def footers_with_an_unknown_column(spark):
+    """A file of another table, found as a shard of "part", and one of the table itself with a wrong type."""
+    shape = (
+        "table string, candidates int, path string, relative string, size_bytes bigint, rows bigint, row_groups int, "
+        "columns array<struct<name:string,type:string,nullable:boolean,field_id:int>>, error string"
+    )
+    other = [("doc_id", "bigint", True, None), ("p_name", "bigint", True, None)]
+    own = [("p_partkey", "bigint", True, None), ("p_retailprice", "double", True, None)]
+    files = [("documents.parquet/part-0000.parquet", other), ("part.parquet", own)]
+    rows = [("part", 1, f"file:/d/{name}", name, 1, 1, 1, columns, None) for name, columns in files]
+    return spark.createDataFrame(rows, shape)
+
+
+def test_unknown_columns_have_no_kind(spark):
+    found = conform.kind_violations(footers_with_an_unknown_column(spark), "tpch").collect()
+    assert sorted((r["subject"].rpartition("/")[2], r["expected"], r["actual"]) for r in found) == [
+        ("part-0000.parquet#p_name", "S", "bigint"),
+        ("part.parquet#p_retailprice", "D15_2", "double"),
+    ]
+
+
 def totals(spark, **rows):
     return spark.createDataFrame([(t, n, 1, 1) for t, n in rows.items()], "table string, rows bigint, size_bytes bigint, files bigint")
 
