@@ -52,6 +52,18 @@ def test_unknown_columns_have_no_kind(spark):
     ]
 
 
+def test_gate_with_unknown_columns(spark):
+    footers = footers_with_an_unknown_column(spark)
+    none = footers.limit(0)
+    found = conform.gate(
+        conform.dataset_violations(
+            footers, footers, "tpch", Decimal("0.01"), none.select("table"), none.selectExpr("path", "1 as listed")
+        )
+    )
+    counts = {r["check"]: r["findings"] for r in found.collect()}
+    assert (counts["column_kind"], counts["column_names"]) == (2, 2)
+
+
 def totals(spark, **rows):
     return spark.createDataFrame([(t, n, 1, 1) for t, n in rows.items()], "table string, rows bigint, size_bytes bigint, files bigint")
 
