@@ -1,12 +1,11 @@
 """Quality rules: fixed limits on document statistics, then gradient-boosted trees over more of them.
 
-The trees are fitted to a bounded sample of labelled documents, with monotonic constraints: a document never gets a
-better score for more symbols, capitals, repeated lines or repeated words. Their flat arrays go to the workers, which
-score whole Arrow batches.
+The trees are fitted to all labelled documents, with monotonic constraints: a document never gets a better score for more
+symbols, capitals, repeated lines or repeated words. Their flat arrays go to the workers, which score whole Arrow batches.
 
 A document fails the limits with fewer than 20 words, or with more than 30 per cent of its words in 8-word windows that
 it holds twice or more. Otherwise it is kept unless its score is below the threshold, which is fitted to reject at most
-``SPARE`` of the good documents of the sample. Null and empty texts have no words and fail. Without labels of both kinds
+``SPARE`` of the good labelled documents. Null and empty texts have no words and fail. Without labels of both kinds
 nothing but the limits rejects. Further columns are passed on; the result is one column whose name is a parameter.
 """
 
@@ -17,14 +16,14 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from benchloom.llm import boosting
+from benchloom.llm import boosting, ranks
 from benchloom.llm.columns import NOT_SPACE, U64, Words, byte_table, mix, rolling, slices, utf8
-from benchloom.llm.labelled import sample
-from benchloom.llm.ship import arrow_map, with_struct
+from benchloom.llm.labelled import marks
+from benchloom.llm.shared import new_folder
+from benchloom.llm.ship import arrow_map, kind, with_struct
 
-#: At most so many labelled documents are used for fitting.
-MOST_LABELLED = 40_000
 #: Share of good labelled documents that the threshold may cost.
 SPARE = 0.002
 REPEAT_WINDOW = 8
@@ -121,30 +120,41 @@ class Rules(NamedTuple):
     threshold: float
 
 
-def fit(
-    documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
-    most: int = MOST_LABELLED,
-) -> Rules:
-    """Fit the trees to at most ``most`` labelled documents; only their statistics come to the driver."""
+def fit(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality") -> Rules:
+    """Fit the trees to all labelled documents.
+
+    A key has one text, of several the one with the smallest hash, and counts once for each of its labels. The statistics are
+    made where the texts are and only they are exchanged; they stand in a file, which the steps of the fit read.
+    """
+    spark = documents.sparkSession
 
     def work(batches):
         for batch in slices(batches, "__text"):
             features = statistics(batch.column("__text"))[1]
-            yield pa.record_batch(
-                [pa.FixedSizeListArray.from_arrays(features.reshape(-1), len(FEATURES)).cast(pa.list_(pa.float64())), batch.column("__label")],
-                names=["features", "label"],
-            )
-
-    chosen = sample(documents.select(key, text), labels, label, key, text, most)
-    got = arrow_map(chosen, work, "features array<double>, label int").toArrow()
-    rows = np.array(got.column("features").to_pylist(), float).reshape(-1, len(FEATURES))
-    truth = got.column("label").to_numpy().astype(float)
-    order = np.lexsort((truth, *rows.T))  # the order of arrival is not fixed
-    rows, truth = rows[order], truth[order]
-    trees = boosting.fit(rows, truth, np.array(list(FEATURES.values())))
+            rows = pa.FixedSizeListArray.from_arrays(features.reshape(-1), len(FEATURES)).cast(pa.list_(pa.float64()))
+            yield pa.record_batch([*batch.columns[:2], rows], names=["__key", "__hash", "features"])
+
+    keyed = documents.where(F.col(key).isNotNull()).select(
+        F.col(key).alias("__key"), F.xxhash64(text).alias("__hash"), F.col(text).alias("__text")
+    )
+    known = arrow_map(keyed, work, f"{kind(keyed, '__key')}, __hash bigint, features array<double>")
+    one = known.groupBy("__key").agg(F.min_by("features", "__hash").alias("features"))
+    folder = new_folder(spark, "statistics")
+    one.join(marks(labels, label, key), "__key").select("features", F.col("__label").alias("label")).write.parquet(folder)
+    rows = spark.read.parquet(folder)
+    trees = boosting.fit_frame(rows, np.array(list(FEATURES.values())))
     if not len(trees.feature):
         return Rules(trees, 0.0)
-    return Rules(trees, float(min(0.5, np.quantile(trees.score(rows[truth == 1]), SPARE, method="lower"))))
+
+    def score(batches):
+        for batch in batches:
+            features = batch.column("features").flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES))
+            yield pa.record_batch([pa.array(np.zeros(len(features), np.int32)), pa.array(trees.score(features))], names=["part", "value"])
+
+    good = rows.where("label = 1")
+    last = int(SPARE * (good.count() - 1))
+    found = ranks.at_ranks(arrow_map(good, score, "part int, value double"), {0: np.array([last])})
+    return Rules(trees, float(min(0.5, found[0][0])))
 
 
 RESULT = {name: "bigint" for name in BASE} | {"base_failed": "boolean", "kept": "boolean", "score": "double"}

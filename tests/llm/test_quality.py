@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from benchloom.llm import boosting, compression, quality_rules
+from benchloom.llm import boosting, compression, quality_rules, ranks
 
 GOOD = "the quick river runs over stones and under bridges while people watch from quiet banks in spring".split()
 
@@ -64,6 +64,35 @@ def test_rules_ignore_bad_labels(spark):
     assert a.threshold == b.threshold and (a.trees.value == b.trees.value).all()
 
 
+def test_all_labels_count(spark):
+    import pyarrow as pa
+
+    draw = random.Random(7)
+    words = ["a", "river", "STONE", "##", "9", "banks,"]
+    rows = [(i, " ".join(draw.choices(words, k=draw.randint(1, 6)))) for i in range(42_000)]
+    marked = spark.createDataFrame([(k, int("#" not in t)) for k, t in rows], "doc_id bigint, quality int")
+    rules = quality_rules.fit(brute.documents(spark, rows), marked)
+    truth = np.array([float("#" not in t) for _, t in rows])
+    assert rules.trees.base == np.log((truth.sum() + 1) / (len(rows) - truth.sum() + 1))
+    features = quality_rules.statistics(pa.array([t for _, t in rows]))[1]
+    plain = boosting.fit(features, truth, np.array(list(quality_rules.FEATURES.values())))
+    for got, wanted in zip(rules.trees, plain, strict=True):
+        assert np.array_equal(got, wanted)
+    good = plain.score(features[truth == 1])
+    assert rules.threshold == min(0.5, np.quantile(good, quality_rules.SPARE, method="lower"))
+
+
+def test_ranks_are_exact(spark):
+    draw = np.random.default_rng(3)
+    parts = {0: draw.random(3001), 1: np.repeat([0.0, 2.5], 900), 2: np.array([7.0]), 3: draw.integers(0, 9, 800) / 7}
+    rows = [(p, float(x)) for p, values in parts.items() for x in values]
+    values = spark.createDataFrame(rows, "part int, value double").repartition(5)
+    shares = np.linspace(0, 1, 65)
+    found = ranks.quantiles(values, {p: len(x) for p, x in parts.items()}, shares)
+    for p, x in parts.items():
+        assert np.array_equal(found[p], np.quantile(x, shares))
+
+
 def test_trees_are_monotonic():
     draw = np.random.default_rng(1)
     rows = draw.random((4000, 3))
