@@ -36,6 +36,8 @@ SEGMENT = 1 << 16
 PERCENTILE = 90
 #: Spans whose ids a worker remembers.
 REMEMBERED = 2_000_000
+#: Spans that are encoded as one text.
+TOGETHER = 200
 
 _HEAD = np.dtype([("low", "<u4"), ("n", "<u2"), ("width", "u1"), ("pad", "u1"), ("odd", "<u2"), ("pad2", "<u2")])
 
@@ -110,8 +112,9 @@ class Encoder:
     """A tokenizer file, with the ids of the spans of text that this worker has met.
 
     A byte-level pattern never matches across a non-space followed by a space, so a text's ids are those of its spans
-    from one such place to the next, and each different span needs the library once. Spans are told apart by 64 bits;
-    ``known`` is sorted, and ``first`` and ``count`` say where in ``store`` the ids of each stand.
+    from one such place to the next, and each different span needs the library once. Spans are told apart by 64 bits:
+    ``known`` is numbered as they came, ``slots`` is an open hash table of those numbers plus one, and ``first`` and ``count``
+    say where in ``store`` the ids of each stand.
     """
 
     def __init__(self, path: str) -> None:
@@ -129,6 +132,37 @@ class Encoder:
     def forget(self) -> None:
         self.known, self.first, self.count = np.empty(0, U64), np.empty(0, np.int64), np.empty(0, np.int64)
         self.store, self.used = np.empty(1 << 16, np.uint32), 0
+        self.slots, self.keys = np.zeros(1 << 12, np.int32), np.empty(1 << 12, U64)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of each span, -1 for new ones."""
+        mask = U64(len(self.slots) - 1)
+        slot = (hashes & mask).astype(np.int64)
+        found = self.slots[slot]
+        # Those that meet another span look at the next slots, until one is their own or empty.
+        open_ = np.flatnonzero((found > 0) & (self.keys[slot] != hashes))
+        while len(open_):
+            slot[open_] = (slot[open_] + 1) & int(mask)
+            found[open_] = self.slots[slot[open_]]
+            open_ = open_[(found[open_] > 0) & (self.keys[slot[open_]] != hashes[open_])]
+        return found.astype(np.int64) - 1
+
+    def enter(self, hashes: np.ndarray) -> None:
+        """Number new spans, all different, after those that are known."""
+        base, self.known = len(self.known), np.concatenate((self.known, hashes))
+        if 2 * len(self.known) > len(self.slots):
+            size = 1 << (2 * len(self.known) - 1).bit_length()
+            self.slots, self.keys = np.zeros(size, np.int32), np.empty(size, U64)
+            base, hashes = 0, self.known
+        mask = len(self.slots) - 1
+        left, slot = np.arange(len(hashes)), (hashes & U64(mask)).astype(np.int64)
+        while len(left):
+            free = np.flatnonzero(self.slots[slot] == 0)
+            self.slots[slot[free]] = base + left[free] + 1
+            # Of several that took one slot one has it.
+            lost = self.slots[slot] != base + left + 1
+            self.keys[slot[~lost]] = hashes[left[~lost]]
+            left, slot = left[lost], (slot[lost] + 1) & mask
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(x.ids, np.uint32) for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -140,8 +174,8 @@ class Encoder:
         order = np.concatenate((np.flatnonzero(plain), np.flatnonzero(~plain)))
         hashes, starts, sizes = hashes[order], starts[order], sizes[order]
         n_plain = int(plain.sum())
-        for a in range(0, n_plain, 2000):
-            b = min(a + 2000, n_plain)
+        for a in range(0, n_plain, TOGETHER):
+            b = min(a + TOGETHER, n_plain)
             text = data[spread(starts[a:b], sizes[a:b])].tobytes().decode()
             ids += self._ids([text])
             cuts = np.searchsorted(np.cumsum(self.bytes_of[ids[-1]]), np.cumsum(sizes[a:b])) + 1
@@ -155,11 +189,9 @@ class Encoder:
         self.store[self.used : self.used + len(new)] = new
         first = self.used + np.cumsum(counts) - counts
         self.used += len(new)
-        known = np.concatenate((self.known, hashes))
-        order = np.argsort(known, kind="stable")
-        self.known = known[order]
-        self.first = np.concatenate((self.first, first))[order]
-        self.count = np.concatenate((self.count, counts))[order]
+        self.enter(hashes)
+        self.first = np.concatenate((self.first, first))
+        self.count = np.concatenate((self.count, counts))
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, their number in each) of UTF-8 texts."""
@@ -179,16 +211,13 @@ class Encoder:
         hashes = hash_pieces(data, sizes)
         if len(self.known) > REMEMBERED:
             self.forget()
-        at = np.searchsorted(self.known, hashes)
-        missing = at == len(self.known)
-        at[missing] = 0
-        missing |= (self.known[at] != hashes) if len(self.known) else True
-        if missing.any():
-            lacking = np.flatnonzero(missing)
-            _, chosen = np.unique(hashes[lacking], return_index=True)
-            lacking = lacking[chosen]
-            self.learn(hashes[lacking], data, starts[lacking], sizes[lacking], plain[lacking])
-            at = np.searchsorted(self.known, hashes)
+        at = self.find(hashes)
+        lacking = np.flatnonzero(at < 0)
+        if len(lacking):
+            _, chosen, which = np.unique(hashes[lacking], return_index=True, return_inverse=True)
+            new = lacking[chosen]
+            self.learn(hashes[new], data, starts[new], sizes[new], plain[new])
+            at[lacking] = self.find(hashes[new])[which]
         counts = self.count[at]
         owner = np.searchsorted(offsets, starts, "right") - 1
         return (

@@ -72,6 +72,22 @@ def test_encoder_is_the_library():
             assert ids[end - n : end].tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_spans_that_meet_in_a_slot():
+    own = token_files.Encoder(FILE)
+    draw = np.random.default_rng(4)
+    # Few different low bits, so most spans look at several slots; the table grows on the way.
+    hashes = np.unique(draw.integers(0, 1 << 63, 6000, dtype=np.uint64) & ~np.uint64(0xFE0))
+    draw.shuffle(hashes)
+    known, other = hashes[:5000], hashes[5000:]
+    for part in np.array_split(known, 7):
+        assert (own.find(part) == -1).all()
+        own.enter(part)
+    assert (own.find(known) == np.arange(5000)).all() and (own.known == known).all()
+    assert (own.find(other) == -1).all()
+    own.forget()
+    assert (own.find(known) == -1).all()
+
+
 def test_files(spark, tmp_path):
     library = Tokenizer.from_file(FILE)
     token_files.write(brute.documents(spark), f"{tmp_path}/files", FILE)
