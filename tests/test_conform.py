@@ -1,8 +1,11 @@
 from decimal import Decimal
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from benchloom.catalogue import run
 from benchloom.operators import conform
 
 KINDS = [
@@ -64,6 +67,15 @@ def test_gate_with_unknown_columns(spark):
     assert (counts["column_kind"], counts["column_names"]) == (2, 2)
 
 
+def test_gate_query_in_each_session_of_an_application(spark, tmp_path):
+    (tmp_path / "documents.parquet").mkdir()
+    pq.write_table(pa.table({"doc_id": [1, 2], "text": ["a", None]}), tmp_path / "documents.parquet" / "part-0000.parquet")
+    pq.write_table(pa.table({"o_orderkey": [1, 2, 3], "o_custkey": ["x", "y", None]}), tmp_path / "orders.parquet")
+    wanted = {"missing_table": 6, "column_names": 2, "column_kind": 1, "row_count": 3, "lineitem_bounds": 1}
+    for session in (spark, spark.newSession(), spark):
+        assert dict(map(tuple, run("dataset_gate", session, str(tmp_path)).collect())) == wanted
+
+
 def totals(spark, **rows):
     return spark.createDataFrame([(t, n, 1, 1) for t, n in rows.items()], "table string, rows bigint, size_bytes bigint, files bigint")
 

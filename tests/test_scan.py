@@ -40,6 +40,11 @@ def test_one_listing_for_a_plan(spark, root, tmp_path_factory, monkeypatch):
     scan._registered.clear()
 
 
+def test_each_session_of_an_application_has_the_source(spark, root):
+    for session in (spark, spark.newSession(), spark):
+        assert scan.footers(session, str(root)).count() == 3
+
+
 def test_digests_combine(spark, root):
     data = bytes(range(256)) * 1000
     whole = {r.name: r.digest for r in scan.digests(spark, str(root), "sha256").collect()}
